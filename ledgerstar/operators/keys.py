@@ -11,11 +11,13 @@ parallel:
    and turn it into start offsets with a running sum over those P+1 rows;
 4. broadcast-join the offsets (bounded by P) back and add.
 
-P comes from the row count and a target rows-per-partition, and is given
-explicitly to ``repartitionByRange``; AQE does not coalesce such a shuffle,
-so both consumers of the sorted rows see the same partitions. The range
-bounds are fixed per shuffle and the sort includes every column as a
-tie-break, so a recomputed task after an executor loss yields the same ids.
+P comes from the row count and a target rows-per-partition. The sorted,
+numbered rows are written once with a reliable ``checkpoint()`` (the shared
+checkpoint folder) before they are counted and joined: both consumers then
+read the same materialised partitions, so partition sizes and positions
+agree by construction, and a lost executor cannot make a recomputation
+sample different range bounds. The sort includes every column as a
+tie-break, so the numbering is a function of the data alone.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerstar.session import shared_root
+
 ROWS_PER_PARTITION = 2_000_000
 MAX_PARTITIONS = 20_000
 _POSITION_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row
@@ -59,12 +63,14 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     parts = max(1, min(MAX_PARTITIONS, -(-total // rows_per_partition)))
     keys = [F.col(c).asc_nulls_first() for c in key_cols]
     ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in key_cols]
+    shared_root(df.sparkSession)  # checkpoint() needs the shared folder
     ranked = (
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys, *ties)
         .withColumn("_ls_mid", F.monotonically_increasing_id())
         .withColumn("_ls_part", F.shiftright("_ls_mid", _POSITION_BITS))
         .withColumn("_ls_pos", F.col("_ls_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
+        .checkpoint(eager=True)
     )
     sizes = ranked.groupBy("_ls_part").agg(F.count(F.lit(1)).alias("_ls_n"))
     before = Window.orderBy("_ls_part").rowsBetween(Window.unboundedPreceding, -1)

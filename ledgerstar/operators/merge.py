@@ -61,15 +61,15 @@ def insert_only_merge(source: DataFrame, target_table: str, key_cols: Sequence[s
     spark = source.sparkSession
     shared_root(spark)  # checkpoint() below needs the shared folder
     target = spark.table(target_table)
-    fresh = new_rows_only(source, target, key_cols, null_safe)
+    # Materialise the new rows once in the shared folder: the anti-join runs
+    # a single time, and the append no longer depends on the table's lineage.
+    fresh = new_rows_only(source, target, key_cols, null_safe).checkpoint(eager=True)
+    inserted = fresh.count()
+    if not inserted:
+        return 0
     if id_col:
         fresh = dense_ids(fresh, key_cols, id_col, base=max_id(target, id_col))
-    # Cut lineage: materialise the new rows in the shared folder before the
-    # append, so the append does not re-read the table it writes to.
-    fresh = fresh.checkpoint(eager=True)
-    inserted = fresh.count()
-    if inserted:
-        append_by_name(fresh, target_table)
+    append_by_name(fresh, target_table)
     return inserted
 
 

@@ -8,7 +8,10 @@ quoting: a comma, a double quote and a line break.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerstar import schemas
 from ledgerstar.constants import CONVERSION_RATES, EXCLUDED_CATEGORY_NAME
@@ -34,10 +37,27 @@ SAMPLE_CATEGORY_MAP: tuple[tuple[int, str, float], ...] = (
 )
 
 
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A small literal table as an inline ``VALUES`` relation.
+
+    Values travel as bound parameters (no quoting), and the plan is a JVM
+    ``LocalTableScan`` whose size Catalyst knows, not a Python RDD scan.
+    """
+    cells, args = [], {}
+    for i, row in enumerate(rows):
+        refs = []
+        for j, (field, value) in enumerate(zip(schema.fields, row)):
+            args[f"v{i}_{j}"] = value
+            refs.append(f"CAST(:v{i}_{j} AS {field.dataType.simpleString()})")
+        cells.append(f"({', '.join(refs)})")
+    names = ", ".join(f"`{n}`" for n in schema.fieldNames())
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(cells)} AS t({names})", args=args)
+
+
 def currency_rates(spark: SparkSession) -> DataFrame:
-    """The literal rates table (5 rows, a local relation)."""
-    return spark.createDataFrame(list(CONVERSION_RATES), schemas.CURRENCY_RATES)
+    """The literal rates table (5 rows)."""
+    return local_table(spark, CONVERSION_RATES, schemas.CURRENCY_RATES)
 
 
 def sample_category_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SAMPLE_CATEGORY_MAP), schemas.CATEGORY_MAP)
+    return local_table(spark, SAMPLE_CATEGORY_MAP, schemas.CATEGORY_MAP)
