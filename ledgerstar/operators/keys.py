@@ -7,9 +7,13 @@ parallel:
 1. range-partition the rows by key into P partitions and sort inside each;
 2. the position inside a partition and the partition index both come from
    ``monotonically_increasing_id`` (partition index in the upper bits);
-3. count rows per partition (a P-row table), add the base as an extra row,
-   and turn it into start offsets with a running sum over those P+1 rows;
-4. broadcast-join the offsets (bounded by P) back and add.
+3. count rows per partition (a P-row table) and turn the counts into start
+   offsets with a running sum over those P rows;
+4. broadcast-join the offsets (bounded by P) back and add them, the position
+   and the base (a scalar subquery when it is the table's current maximum).
+
+When the count shows at most one partition's worth of rows, a single ordered
+``row_number`` window does the same work without the extra steps.
 
 P comes from the row count and a target rows-per-partition. The sorted,
 numbered rows are written once with a reliable ``checkpoint()`` (the shared
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerstar.session import shared_root
@@ -39,12 +43,11 @@ def max_id(target: DataFrame, id_col: str) -> DataFrame:
     return target.agg(F.coalesce(F.max(id_col).cast("bigint"), F.lit(0).cast("bigint")).alias("max_id"))
 
 
-def _base_row(df: DataFrame, base: DataFrame | int) -> DataFrame:
+def _base(df: DataFrame, base: DataFrame | int) -> Column:
+    """The base as a column: a literal, or a scalar subquery over a one-row frame."""
     if isinstance(base, DataFrame):
-        value = base.select(F.col(base.columns[0]).cast("bigint").alias("_ls_n"))
-    else:
-        value = df.sparkSession.range(1).select(F.lit(int(base)).cast("bigint").alias("_ls_n"))
-    return value.select(F.lit(-1).cast("bigint").alias("_ls_part"), "_ls_n")
+        return base.select(F.col(base.columns[0]).cast("bigint")).scalar()
+    return F.lit(int(base)).cast("bigint")
 
 
 def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
@@ -52,18 +55,26 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
               rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Append ``id_col`` = base + rank by ``key_cols`` (NULLs first), dense from base+1.
 
-    ``base`` is an int or a one-row, one-column frame (e.g. ``max_id``),
-    which stays in the plan instead of being collected. Ids that do not fit
-    ``id_type`` fail (ANSI cast) rather than wrap.
+    ``base`` is an int or a one-row, one-column frame (e.g. ``max_id``); a
+    frame stays in the plan as a scalar subquery instead of being collected.
+    Ids that do not fit ``id_type`` fail (ANSI cast) rather than wrap.
     """
     key_cols = list(key_cols)
     if id_col in df.columns:
         df = df.drop(id_col)
+    spark = df.sparkSession
     total = df.count()
-    parts = max(1, min(MAX_PARTITIONS, -(-total // rows_per_partition)))
     keys = [F.col(c).asc_nulls_first() for c in key_cols]
     ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in key_cols]
-    shared_root(df.sparkSession)  # checkpoint() needs the shared folder
+    base_col = _base(df, base)
+    if total <= rows_per_partition:
+        # At most one partition's worth of rows (just counted): a single
+        # ordered window is the same work as one range partition.
+        rank = F.row_number().over(Window.orderBy(*keys, *ties))
+        return df.withColumn(id_col, (base_col + rank).cast(id_type))
+
+    parts = min(MAX_PARTITIONS, -(-total // rows_per_partition))
+    shared_root(spark)  # checkpoint() needs the shared folder
     ranked = (
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys, *ties)
@@ -74,13 +85,8 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     )
     sizes = ranked.groupBy("_ls_part").agg(F.count(F.lit(1)).alias("_ls_n"))
     before = Window.orderBy("_ls_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        sizes.unionByName(_base_row(df, base))
-        .withColumn("_ls_start", F.sum("_ls_n").over(before))
-        .filter(F.col("_ls_part") >= 0)
-        .select("_ls_part", "_ls_start")
-    )
+    starts = sizes.select("_ls_part", F.coalesce(F.sum("_ls_n").over(before), F.lit(0)).alias("_ls_start"))
     # starts has at most `parts` rows: a bounded broadcast.
     numbered = ranked.join(F.broadcast(starts), "_ls_part")
-    new_id = (F.col("_ls_start") + F.col("_ls_pos") + F.lit(1)).cast(id_type)
+    new_id = (base_col + F.col("_ls_start") + F.col("_ls_pos") + F.lit(1)).cast(id_type)
     return numbered.withColumn(id_col, new_id).select(*df.columns, id_col)
