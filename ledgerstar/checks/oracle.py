@@ -323,5 +323,6 @@ SELECT category_name,
        count(co2_emission_g) AS transactions
 FROM report GROUP BY category_name"""),
     "emission_points": _q("SELECT amount_euro, co2_emission_g, category_name FROM report"),
+    "stream_bronze_to_silver": _q("SELECT * FROM silver"),
     "first_n_ordered": _q(f"SELECT {_CALENDAR_COLS} FROM cal_all ORDER BY payment_date LIMIT 10"),
 })

@@ -20,8 +20,10 @@ numbered rows are written once with a reliable ``checkpoint()`` (the shared
 checkpoint folder) before they are counted and joined: both consumers then
 read the same materialised partitions, so partition sizes and positions
 agree by construction, and a lost executor cannot make a recomputation
-sample different range bounds. The sort includes every column as a
-tie-break, so the numbering is a function of the data alone.
+sample different range bounds. The sort includes every column and
+finally the row's position in the stored input as tie-breaks, so the
+numbering is fixed once the input is stored, and range bounds can split a hot
+key or a group of identical rows across partitions.
 """
 
 from __future__ import annotations
@@ -52,17 +54,24 @@ def _base(df: DataFrame, base: DataFrame | int) -> Column:
 
 def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
               base: DataFrame | int = 0, id_type: str = "int",
-              rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+              rows_per_partition: int = ROWS_PER_PARTITION, materialized: bool = False) -> DataFrame:
     """Append ``id_col`` = base + rank by ``key_cols`` (NULLs first), dense from base+1.
 
     ``base`` is an int or a one-row, one-column frame (e.g. ``max_id``); a
     frame stays in the plan as a scalar subquery instead of being collected.
     Ids that do not fit ``id_type`` fail (ANSI cast) rather than wrap.
+
+    The input is checkpointed first (unless ``materialized`` says it already
+    is), so the row count, the range sampling and the shuffle read stored
+    rows instead of recomputing the upstream plan three times.
     """
     key_cols = list(key_cols)
     if id_col in df.columns:
         df = df.drop(id_col)
     spark = df.sparkSession
+    shared_root(spark)  # checkpoint() needs the shared folder
+    if not materialized:
+        df = df.checkpoint(eager=True)
     total = df.count()
     keys = [F.col(c).asc_nulls_first() for c in key_cols]
     ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in key_cols]
@@ -74,10 +83,14 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
         return df.withColumn(id_col, (base_col + rank).cast(id_type))
 
     parts = min(MAX_PARTITIONS, -(-total // rows_per_partition))
-    shared_root(spark)  # checkpoint() needs the shared folder
+    # Last tie-break: the row's position in the stored input (deterministic,
+    # since the input is checkpointed). Range bounds can then split even a
+    # key, or a group of identical rows, holding a large share of the data.
+    order = [*keys, *ties, F.col("_ls_row").asc()]
     ranked = (
-        df.repartitionByRange(parts, *keys)
-        .sortWithinPartitions(*keys, *ties)
+        df.withColumn("_ls_row", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
         .withColumn("_ls_mid", F.monotonically_increasing_id())
         .withColumn("_ls_part", F.shiftright("_ls_mid", _POSITION_BITS))
         .withColumn("_ls_pos", F.col("_ls_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))

@@ -83,3 +83,17 @@ def test_union_dedupe_existing_wins_and_renumbers(spark):
     incoming = spark.createDataFrame([("B", "new"), ("A", "a")], "k string, v string")
     got = sorted(tuple(r) for r in union_dedupe_by_key(existing, incoming, ["k"], "id").collect())
     assert got == [("A", "a", 1), ("B", "old", 2)]
+
+
+def test_dense_ids_split_a_hot_duplicate_key_across_partitions(spark):
+    """A third of the rows are identical copies: they still spread over ranges."""
+    hot = spark.range(0, 3000).select(F.lit(5).alias("k"), F.lit("same").alias("s"))
+    rest = spark.range(0, 6000).select((F.col("id") % 997).alias("k"), F.col("id").cast("string").alias("s"))
+    df = hot.unionByName(rest)
+    got = dense_ids(df, ["k"], "rid", rows_per_partition=500)
+    ids = [r["rid"] for r in got.select("rid").collect()]
+    assert sorted(ids) == list(range(1, 9001))
+    # ids follow key order: every k=5 row is numbered after all smaller keys
+    below = df.filter("k < 5").count()
+    hot_ids = sorted(r["rid"] for r in got.filter("k = 5").collect())
+    assert hot_ids[0] == below + 1 and hot_ids[-1] == below + df.filter("k = 5").count()
