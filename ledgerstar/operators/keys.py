@@ -54,7 +54,8 @@ def _base(df: DataFrame, base: DataFrame | int) -> Column:
 
 def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
               base: DataFrame | int = 0, id_type: str = "int",
-              rows_per_partition: int = ROWS_PER_PARTITION, materialized: bool = False) -> DataFrame:
+              rows_per_partition: int = ROWS_PER_PARTITION, materialized: bool = False,
+              total: int | None = None) -> DataFrame:
     """Append ``id_col`` = base + rank by ``key_cols`` (NULLs first), dense from base+1.
 
     ``base`` is an int or a one-row, one-column frame (e.g. ``max_id``); a
@@ -63,7 +64,8 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
 
     The input is checkpointed first (unless ``materialized`` says it already
     is), so the row count, the range sampling and the shuffle read stored
-    rows instead of recomputing the upstream plan three times.
+    rows instead of recomputing the upstream plan three times. A caller that
+    already knows the row count of a materialized input passes ``total``.
     """
     key_cols = list(key_cols)
     if id_col in df.columns:
@@ -72,7 +74,9 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     shared_root(spark)  # checkpoint() needs the shared folder
     if not materialized:
         df = df.checkpoint(eager=True)
-    total = df.count()
+        total = None
+    if total is None:
+        total = df.count()
     keys = [F.col(c).asc_nulls_first() for c in key_cols]
     ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in key_cols]
     base_col = _base(df, base)

@@ -68,7 +68,8 @@ def insert_only_merge(source: DataFrame, target_table: str, key_cols: Sequence[s
     if not inserted:
         return 0
     if id_col:
-        fresh = dense_ids(fresh, key_cols, id_col, base=max_id(target, id_col), materialized=True)
+        fresh = dense_ids(fresh, key_cols, id_col, base=max_id(target, id_col), materialized=True,
+                          total=inserted)
     append_by_name(fresh, target_table)
     return inserted
 

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerstar import schemas
 from ledgerstar.functions.columns import conform
-from ledgerstar.operators.quality import DEFAULT_SUITE, Rule, clean_rows, evaluate_suite, suite_summary
+from ledgerstar.operators.quality import (DEFAULT_SUITE, Rule, active_rules, clean_rows, evaluate_suite,
+                                          suite_summary)
 from ledgerstar.plans.gold import load_gold
 from ledgerstar.plans.staging import write_staging
 from ledgerstar.sinks import Warehouse, overwrite_parquet, write_json
@@ -49,5 +49,11 @@ def run_medallion(spark: SparkSession, bronze: DataFrame, categories: DataFrame,
     return load_gold(wh, names)
 
 
-def fact_count(wh: Warehouse) -> int:
-    return wh.spark.table(wh.table("gold", "transactions")).agg(F.count(F.lit(1))).first()[0]
+def clean_from_report(bronze: DataFrame, result_path: str, rules: Sequence[Rule] = DEFAULT_SUITE) -> DataFrame:
+    """Silver rows as decided by a stored report: the rules it marks as failed
+    are applied as filters (rules that passed cannot remove rows). A report
+    with no failure gives every row back unchanged."""
+    report = bronze.sparkSession.read.schema(schemas.VALIDATION_REPORT).json(result_path)
+    failed = active_rules(report, rules)
+    conformed = conform(bronze, schemas.BRONZE_TYPES)
+    return clean_rows(conformed, failed) if failed else conformed
