@@ -42,14 +42,18 @@ def shared_root(spark: SparkSession) -> str:
     checkpoint directory already set on the context; otherwise (local runs
     only) a fresh temporary folder, which is then also set as checkpoint dir.
     """
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if conf_dir:
+        return conf_dir.rstrip("/")
+    try:
+        context = spark.sparkContext
+    except Exception:  # no context object (e.g. a remote session): settings only
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+    conf_dir = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if conf_dir:
         return conf_dir.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
     local_dir = tempfile.mkdtemp(prefix="ledgerstar-")
-    spark.sparkContext.setCheckpointDir(local_dir)
+    context.setCheckpointDir(local_dir)
     return local_dir
 
 
