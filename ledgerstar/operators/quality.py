@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstar.constants import BLANKED_COLUMNS, CATEGORY_CODES, VALID_CURRENCIES
 from ledgerstar.functions.columns import blank_columns, require_columns
@@ -107,6 +108,32 @@ DEFAULT_SUITE: tuple[Rule, ...] = (
 CATEGORY_KNOWN = InSet("category_known", "dtld_tx_tp", CATEGORY_CODES)
 
 
+RAW_PREFIX = "_raw_"
+
+
+def conform_with_checks(df: DataFrame, types: Mapping[str, T.DataType]) -> tuple[DataFrame, list[Rule]]:
+    """Cast columns to their expected types, and one ``Castable`` rule per cast.
+
+    Columns whose type differs keep their raw value in ``_raw_<name>`` and are
+    replaced by ``try_cast``; the returned rules flag rows whose raw value is
+    present but does not cast, so they are quarantined instead of failing the
+    job (ANSI) or silently turning into NULLs. Already-typed input gives no
+    rules and an unchanged frame.
+    """
+    current = dict(df.dtypes)
+    mismatched = [n for n, t in types.items() if n in current and current[n] != t.simpleString()]
+    if not mismatched:
+        return df, []
+    out = df.withColumns({f"{RAW_PREFIX}{n}": F.col(n) for n in mismatched})
+    out = out.withColumns({n: F.col(f"{RAW_PREFIX}{n}").try_cast(types[n]) for n in mismatched})
+    rules = [Castable(f"{n}_parses", f"{RAW_PREFIX}{n}", types[n].simpleString()) for n in mismatched]
+    return out, rules
+
+
+def drop_raw(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(RAW_PREFIX)])
+
+
 def _check(df: DataFrame, rules: Sequence[Rule]) -> None:
     if not rules:
         raise ValueError("a suite needs at least one rule")

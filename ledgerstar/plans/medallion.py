@@ -8,9 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstar import schemas
-from ledgerstar.functions.columns import conform
-from ledgerstar.operators.quality import (DEFAULT_SUITE, Rule, active_rules, clean_rows, evaluate_suite,
-                                          suite_summary)
+from ledgerstar.operators.quality import (DEFAULT_SUITE, Rule, active_rules, clean_rows, conform_with_checks,
+                                          drop_raw, evaluate_suite, suite_summary)
 from ledgerstar.plans.gold import load_gold
 from ledgerstar.plans.staging import write_staging
 from ledgerstar.sinks import Warehouse, overwrite_parquet, write_json
@@ -25,8 +24,13 @@ class Validation:
 
 def validate(bronze: DataFrame, rules: Sequence[Rule] = DEFAULT_SUITE,
              result_path: str | None = None) -> Validation:
-    """Evaluate the suite; optionally store the report as JSON at ``result_path``."""
-    report = evaluate_suite(bronze, rules)
+    """Evaluate the suite; optionally store the report as JSON at ``result_path``.
+
+    Raw columns of an unexpected type are cast at this boundary; a value that
+    does not cast is reported by a ``<column>_parses`` rule.
+    """
+    conformed, cast_rules = conform_with_checks(bronze, schemas.BRONZE_TYPES)
+    report = evaluate_suite(conformed, [*cast_rules, *rules])
     if result_path:
         write_json(report, result_path)
         report = bronze.sparkSession.read.schema(schemas.VALIDATION_REPORT).json(result_path)
@@ -37,7 +41,8 @@ def validate(bronze: DataFrame, rules: Sequence[Rule] = DEFAULT_SUITE,
 def bronze_to_silver(bronze: DataFrame, silver_path: str,
                      rules: Sequence[Rule] = DEFAULT_SUITE) -> DataFrame:
     """Write the silver parquet: cleaned rows (every row when none fails)."""
-    overwrite_parquet(clean_rows(conform(bronze, schemas.BRONZE_TYPES), rules), silver_path)
+    conformed, cast_rules = conform_with_checks(bronze, schemas.BRONZE_TYPES)
+    overwrite_parquet(drop_raw(clean_rows(conformed, [*cast_rules, *rules])), silver_path)
     return bronze.sparkSession.read.parquet(silver_path)
 
 
@@ -54,6 +59,6 @@ def clean_from_report(bronze: DataFrame, result_path: str, rules: Sequence[Rule]
     are applied as filters (rules that passed cannot remove rows). A report
     with no failure gives every row back unchanged."""
     report = bronze.sparkSession.read.schema(schemas.VALIDATION_REPORT).json(result_path)
-    failed = active_rules(report, rules)
-    conformed = conform(bronze, schemas.BRONZE_TYPES)
-    return clean_rows(conformed, failed) if failed else conformed
+    conformed, cast_rules = conform_with_checks(bronze, schemas.BRONZE_TYPES)
+    failed = active_rules(report, [*cast_rules, *rules])
+    return drop_raw(clean_rows(conformed, failed)) if failed else drop_raw(conformed)

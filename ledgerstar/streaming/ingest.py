@@ -17,13 +17,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerstar import schemas
-from ledgerstar.functions.columns import conform
-from ledgerstar.operators.quality import DEFAULT_SUITE, Rule, clean_rows, evaluate_suite
+from ledgerstar.operators.quality import DEFAULT_SUITE, Rule, clean_rows, conform_with_checks, drop_raw, evaluate_suite
 
 BRONZE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in schemas.BRONZE_TYPES.items()])
 
@@ -36,11 +34,12 @@ def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_
     rules = list(rules)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = conform(batch, schemas.BRONZE_TYPES).persist()
+        batch, cast_rules = conform_with_checks(batch, schemas.BRONZE_TYPES)
+        batch = batch.persist()
+        checks = [*cast_rules, *rules]
         try:
-            (evaluate_suite(batch, rules).withColumn("rows_in_batch", F.col("element_count"))
-             .write.mode("overwrite").json(f"{report_dir}/batch_id={batch_id}"))
-            clean_rows(batch, rules).write.mode("overwrite").parquet(f"{silver_dir}/batch_id={batch_id}")
+            evaluate_suite(batch, checks).write.mode("overwrite").json(f"{report_dir}/batch_id={batch_id}")
+            drop_raw(clean_rows(batch, checks)).write.mode("overwrite").parquet(f"{silver_dir}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 

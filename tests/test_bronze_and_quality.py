@@ -99,3 +99,19 @@ def test_unexpected_values_lists_every_value(bronze):
 
 def test_report_path_rule():
     assert Q.report_path_for("raw_2024_bronze.parquet", "/cfg") == "/cfg/raw_2024__validation.json"
+
+
+def test_string_typed_bronze_is_validated_not_fatal(spark, wh):
+    """H13 end to end: text columns with malformed values reach quarantine."""
+    from ledgerstar.plans.medallion import bronze_to_silver, validate
+
+    typed = QQ.bronze(spark, "/root/testdata/sf0.001")
+    raw = typed.select(*[F.col(c).cast("string").alias(c) for c in typed.columns])
+    broken = raw.limit(3).withColumn("bookg_amt", F.lit("12,50")).withColumn("bookg_dt_tm_cet", F.lit("31-02-2024"))
+    bronze = raw.unionByName(broken)
+    v = validate(bronze)
+    report = {r["rule"]: r["unexpected_count"] for r in v.report.collect()}
+    assert report["bookg_amt_parses"] == 3 and report["bookg_dt_tm_cet_parses"] == 3
+    silver = bronze_to_silver(bronze, f"{wh.root}/silver")
+    assert silver.count() == Q.clean_rows(typed).count()
+    assert dict(silver.dtypes)["bookg_amt"] == "double" and not any(c.startswith("_raw_") for c in silver.columns)
