@@ -65,21 +65,9 @@ def first_batch(df: DataFrame) -> DataFrame:
     return df.filter(F.col("payment_date") < F.lit(BATCH_SPLIT))
 
 
-def staged_tables(spark: SparkSession, sf: str, wh: Warehouse, transactions: DataFrame | None = None
-                  ) -> dict[str, str]:
-    """Write the five staging tables for ``transactions`` (default: all)."""
-    if transactions is None:
-        return staging.write_staging(wh, silver(spark, sf), category_csv(spark, wh), currency_rates(spark))
-    wh.ensure_database("silver")
-    names = {t: wh.table("silver", t) for t in staging.STAGING_TABLES}
-    overwrite_table(transactions, names["sta_transactions"], wh.location("silver", "sta_transactions"))
-    tx = spark.table(names["sta_transactions"])
-    overwrite_table(staging.calendar_source(tx), names["sta_calendar_dim"], wh.location("silver", "sta_calendar_dim"))
-    overwrite_table(staging.counterparty_source(tx), names["sta_counter_party_dim"],
-                    wh.location("silver", "sta_counter_party_dim"))
-    overwrite_table(category_csv(spark, wh), names["sta_category_dim"], wh.location("silver", "sta_category_dim"))
-    overwrite_table(currency_rates(spark), names["sta_currency_dim"], wh.location("silver", "sta_currency_dim"))
-    return names
+def staged_tables(spark: SparkSession, sf: str, wh: Warehouse) -> dict[str, str]:
+    """Write the five staging tables; return their names."""
+    return staging.write_staging(wh, silver(spark, sf), category_csv(spark, wh), currency_rates(spark))
 
 
 def gold_loaded(spark: SparkSession, sf: str, tag: str, runs: int = 1) -> Warehouse:

@@ -1,7 +1,7 @@
 """Lookup joins from a large fact side to a dimension.
 
-The dimension's size is checked (a row count, the only value that reaches
-the driver) before it is broadcast. Above the limit the join is a shuffle
+The dimension's size is checked (a row count capped at the limit + 1, the
+only value that reaches the driver) before it is broadcast. Above the limit the join is a shuffle
 join with the fact side salted: each fact row gets a salt in [0, S) and the
 dimension is replicated S times, so a key holding a large share of the fact
 rows is spread over S tasks instead of one.
@@ -42,6 +42,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str] | str,
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     limit = max_broadcast_rows if max_broadcast_rows is not None else _conf_int(
         fact, MAX_BROADCAST_ROWS_CONF, DEFAULT_MAX_BROADCAST_ROWS)
-    if dim.count() <= limit:
+    # Size check that reads at most limit + 1 rows of the dimension.
+    if dim.limit(limit + 1).count() <= limit:
         return fact.join(F.broadcast(dim), key_cols, how)
     return salted_join(fact, dim, key_cols, how, salt_buckets)
