@@ -148,3 +148,18 @@ def test_stream_ingest_is_incremental_and_replay_safe(spark, wh):
     second.write.mode("append").parquet(landing)
     ingest_bronze(spark, landing, silver, reports, ck).awaitTermination()
     assert read_silver(spark, silver).count() == QQ.silver(spark, SF001).count()
+
+
+def test_fan_out_hazard_and_its_fix(spark):
+    """H4 with the fixture numbers: looking up the address against the
+    non-deduplicated counterparty table fans 60,000 rows out to 107,954;
+    the per-key dimension keeps 60,000."""
+    from ledgerstar.operators.joins import lookup_join
+    from ledgerstar.operators.merge import dedupe_by_key
+
+    tx = staging.stage_transactions(QQ.bronze(spark, SF01))
+    staged_cp = staging.counterparty_source(tx)
+    assert lookup_join(tx, staged_cp.select("counterparty_add", "counterparty_name"),
+                       "counterparty_add").count() == 107954
+    one = dedupe_by_key(staged_cp, ["counterparty_add"]).select("counterparty_add", "counterparty_name")
+    assert lookup_join(tx, one, "counterparty_add").count() == 60000
