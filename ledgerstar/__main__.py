@@ -52,9 +52,10 @@ def main(argv: list[str] | None = None) -> None:
                                       staging.read_category_map(spark, args.categories), currency_rates(spark))
         out["tables"] = names
     elif args.step == "gold":
-        names = {t: wh.table("silver", t) for t in staging.STAGING_TABLES}
+        names = {t: wh.attach("silver", t) for t in staging.STAGING_TABLES}
         out["inserted"] = gold.load_gold(wh, names)
     elif args.step == "audit":
+        gold.ensure_gold(wh)
         out["counts"] = {r["table_name"]: r["row_count"] for r in gold.gold_audit(wh).collect()}
     else:
         out["inserted"] = run_medallion(spark, spark.read.parquet(args.bronze),

@@ -83,6 +83,13 @@ class Warehouse:
     def location(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def attach(self, layer: str, name: str) -> str:
+        """Register an existing table folder in the catalog (schema from its files)."""
+        self.ensure_database(layer)
+        table = self.table(layer, name)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{self.location(layer, name)}'")
+        return table
+
     def ensure_database(self, layer: str) -> str:
         db = self.database(layer)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root}/{layer}'")
