@@ -144,7 +144,7 @@ _CALENDAR_COLS = ("payment_date, CAST(year(payment_date) AS INTEGER) AS year, "
                   "CAST(month(payment_date) AS INTEGER) AS month, CAST(day(payment_date) AS INTEGER) AS day")
 
 
-def _rule_report(name: str, column: str, violation: str, missing: str) -> str:
+def _rule_report(name: str, column: str, violation: str, missing: str, source: str = "flagged") -> str:
     return f"""
 SELECT '{name}' AS rule, '{column}' AS "column",
        count(*) AS element_count,
@@ -154,7 +154,7 @@ SELECT '{name}' AS rule, '{column}' AS "column",
             THEN CAST(count(*) FILTER (WHERE {violation}) AS DOUBLE) * 100.0
                  / CAST(count(*) - count(*) FILTER (WHERE {missing}) AS DOUBLE) END AS unexpected_percent,
        count(*) FILTER (WHERE {violation}) = 0 AS success
-FROM flagged"""
+FROM {source}"""
 
 
 RULE_SQL = {
@@ -202,6 +202,53 @@ t2 AS (SELECT * FROM t1 UNION ALL
 """
 
 
+# Text-typed bronze (H13): malformed amounts (decimal comma) for unknown
+# categories and local-format booking times for grocery rows, parsed back
+# with TRY_CAST; a present raw value that does not parse is a violation.
+_PARSED = [("booking_id", "BIGINT"), ("bookg_amt", "DOUBLE"), ("bookg_amt_nmrc", "BIGINT"),
+           ("bookg_dt_tm_cet", "TIMESTAMP"), ("bookg_dt_tm_gmt", "TIMESTAMP"), ("dtld_tx_tp", "INTEGER")]
+_TEXT = """
+, text_bronze AS (
+  SELECT CAST(booking_id AS VARCHAR) AS booking_id, acct_ccy,
+         CASE WHEN dtld_tx_tp = 9999 THEN replace(CAST(bookg_amt AS VARCHAR), '.', ',')
+              ELSE CAST(bookg_amt AS VARCHAR) END AS bookg_amt,
+         CAST(bookg_amt_nmrc AS VARCHAR) AS bookg_amt_nmrc,
+         CASE WHEN dtld_tx_tp = 5411 THEN strftime(bookg_dt_tm_cet, '%d.%m.%Y %H:%M')
+              ELSE CAST(bookg_dt_tm_cet AS VARCHAR) END AS bookg_dt_tm_cet,
+         CAST(bookg_dt_tm_gmt AS VARCHAR) AS bookg_dt_tm_gmt, CAST(dtld_tx_tp AS VARCHAR) AS dtld_tx_tp,
+         ctpty_nm, ctpty_ctry, ctpty_adr_line1
+  FROM bronze),
+parsed AS (
+  SELECT """ + ", ".join(f"TRY_CAST({c} AS {t}) AS {c}, {c} AS raw_{c}" for c, t in _PARSED) + """,
+         acct_ccy, ctpty_nm, ctpty_ctry, ctpty_adr_line1
+  FROM text_bronze),
+pflags AS (
+  SELECT *, """ + ", ".join(f"COALESCE(raw_{c} IS NOT NULL AND {c} IS NULL, FALSE) AS p_{c}" for c, _ in _PARSED) + """,
+    COALESCE(bookg_amt < 0, FALSE) AS v_amount,
+    COALESCE(bookg_amt_nmrc < 0, FALSE) AS v_cents,
+    COALESCE(acct_ccy NOT IN (""" + _VALID + """), FALSE) AS v_currency,
+    bookg_dt_tm_gmt IS NULL AS v_gmt,
+    bookg_dt_tm_cet IS NULL AS v_cet
+  FROM parsed)
+"""
+_TEXT_REPORT = " UNION ALL ".join(
+    [_rule_report(f"{c}_parses", c, f"p_{c}", f"raw_{c} IS NULL", "pflags") for c, _ in _PARSED]
+    + [_rule_report(*args, source="pflags") for args in (
+        ("amount_not_negative", "bookg_amt", "v_amount", "bookg_amt IS NULL"),
+        ("amount_cents_not_negative", "bookg_amt_nmrc", "v_cents", "bookg_amt_nmrc IS NULL"),
+        ("currency_known", "acct_ccy", "v_currency", "acct_ccy IS NULL"),
+        ("booked_gmt_present", "bookg_dt_tm_gmt", "v_gmt", "FALSE"),
+        ("booked_cet_present", "bookg_dt_tm_cet", "v_cet", "FALSE"))])
+_TEXT_CLEAN = """
+SELECT booking_id, acct_ccy, bookg_amt, bookg_amt_nmrc, bookg_dt_tm_cet, bookg_dt_tm_gmt, dtld_tx_tp,
+       ctpty_nm, ctpty_ctry, ctpty_adr_line1,
+       CAST(NULL AS VARCHAR) AS ctpty_adr_line2, CAST(NULL AS VARCHAR) AS rmt_inf_ustrd2,
+       CAST(NULL AS VARCHAR) AS tx_tp
+FROM pflags
+WHERE NOT (""" + " OR ".join(f"p_{c}" for c, _ in _PARSED) + """
+           OR v_amount OR v_cents OR v_currency OR v_gmt OR v_cet)"""
+
+
 def _fact_keys() -> str:
     return "SELECT amount_euro, currency_id, date_id, category_id, counterparty_id FROM g_fact"
 
@@ -274,6 +321,8 @@ SELECT {_CP_COLS}, CAST(row_number() OVER (ORDER BY counterparty_add NULLS FIRST
 FROM cp_all""")
 
 ORACLE_SQL.update({
+    "text_bronze_report": _two_run(_TEXT, _TEXT_REPORT),
+    "text_bronze_clean": _two_run(_TEXT, _TEXT_CLEAN),
     "fact_lookup": _q("SELECT * FROM g_fact"),
     "fact_lookup_using_names": _q(_fact_keys()),
     "fact_append_twice": _q("SELECT * FROM g_fact UNION ALL SELECT * FROM g_fact"),

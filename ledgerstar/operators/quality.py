@@ -43,6 +43,10 @@ class Rule:
         """The offending value, as text, for unexpected-value listings."""
         return F.col(self.column).cast("string")
 
+    @property
+    def reported_column(self) -> str:
+        return self.column
+
 
 @dataclass(frozen=True)
 class Between(Rule):
@@ -94,6 +98,10 @@ class Castable(Rule):
         c = F.col(self.column)
         return F.coalesce(c.isNotNull() & c.try_cast(self.type_name).isNull(), _false())
 
+    @property
+    def reported_column(self) -> str:
+        return self.column.removeprefix(RAW_PREFIX)
+
 
 # The default suite: two amount ranges, the currency set, both timestamps.
 AMOUNT_NOT_NEGATIVE = Between("amount_not_negative", "bookg_amt", min_value=0)
@@ -157,7 +165,7 @@ def evaluate_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         aggs.append(F.count_if(rule.violation()).alias(f"_ls_u{i}"))
     totals = df.agg(*aggs)
     entries = F.array(*[
-        F.struct(F.lit(i).alias("ordinal"), F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+        F.struct(F.lit(i).alias("ordinal"), F.lit(r.name).alias("rule"), F.lit(r.reported_column).alias("column"),
                  F.col(f"_ls_m{i}").alias("missing_count"), F.col(f"_ls_u{i}").alias("unexpected_count"))
         for i, r in enumerate(rules)
     ])
@@ -219,7 +227,7 @@ def unexpected_values(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """
     _check(df, rules)
     entries = F.array(*[
-        F.when(r.violation(), F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+        F.when(r.violation(), F.struct(F.lit(r.name).alias("rule"), F.lit(r.reported_column).alias("column"),
                                         r.value().alias("value")))
         for r in rules
     ])

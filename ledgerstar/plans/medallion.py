@@ -12,6 +12,7 @@ from ledgerstar.operators.quality import (DEFAULT_SUITE, Rule, active_rules, cle
                                           drop_raw, evaluate_suite, suite_summary)
 from ledgerstar.plans.gold import load_gold
 from ledgerstar.plans.staging import write_staging
+from ledgerstar.session import shared_root
 from ledgerstar.sinks import Warehouse, overwrite_parquet, write_json
 
 
@@ -34,6 +35,11 @@ def validate(bronze: DataFrame, rules: Sequence[Rule] = DEFAULT_SUITE,
     if result_path:
         write_json(report, result_path)
         report = bronze.sparkSession.read.schema(schemas.VALIDATION_REPORT).json(result_path)
+    else:
+        # One row per rule: store it so the data is scanned once, not once
+        # for the success flag and again by whoever reads the report.
+        shared_root(bronze.sparkSession)
+        report = report.checkpoint(eager=True)
     success = suite_summary(report).first()["success"]
     return Validation(bool(success), report, result_path)
 
