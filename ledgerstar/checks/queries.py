@@ -260,7 +260,7 @@ def dense_ids_from_one(spark, sf):
 
 def row_number_renumber(spark, sf):
     """K3: renumber every member 1..n in key order (distributed)."""
-    days = staging.calendar_source(staged(spark, sf))
+    days = staging.calendar_days(staged(spark, sf))  # dense_ids orders by key itself
     return dense_ids(days, ["payment_date"], "date_id", rows_per_partition=500)
 
 

@@ -41,14 +41,19 @@ def stage_transactions(silver: DataFrame) -> DataFrame:
     return reorder_columns(silver.select(*cols), schemas.STA_TRANSACTIONS.fieldNames())
 
 
-def calendar_source(transactions: DataFrame) -> DataFrame:
-    """Distinct payment days with year, month and day, ordered by day.
+def calendar_days(transactions: DataFrame) -> DataFrame:
+    """Distinct payment days with year, month and day (no order).
 
     Distinct on the day first (one column through the shuffle, partial
     aggregation collapses a busy day per task), then derive the parts.
     """
     days = transactions.select("payment_date").distinct()
-    return days.select("payment_date", *calendar_parts("payment_date")).orderBy("payment_date")
+    return days.select("payment_date", *calendar_parts("payment_date"))
+
+
+def calendar_source(transactions: DataFrame) -> DataFrame:
+    """The calendar staging rows, ordered by day as they are stored."""
+    return calendar_days(transactions).orderBy("payment_date")
 
 
 def counterparty_source(transactions: DataFrame) -> DataFrame:

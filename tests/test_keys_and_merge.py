@@ -97,3 +97,39 @@ def test_dense_ids_split_a_hot_duplicate_key_across_partitions(spark):
     below = df.filter("k < 5").count()
     hot_ids = sorted(r["rid"] for r in got.filter("k = 5").collect())
     assert hot_ids[0] == below + 1 and hot_ids[-1] == below + df.filter("k = 5").count()
+
+
+def test_dense_ids_are_a_function_of_the_data(spark):
+    """Same input, different shuffle settings and input partitioning: same ids."""
+    base = spark.range(0, 4000).select((F.col("id") % 1500).alias("k"), (F.col("id") % 7).alias("g"))
+    first = {(r["k"], r["g"], r["rid"]) for r in dense_ids(base, ["k"], "rid", rows_per_partition=300).collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        shuffled = base.repartition(5, "g")
+        second = {(r["k"], r["g"], r["rid"]) for r in
+                  dense_ids(shuffled, ["k"], "rid", rows_per_partition=300).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert first == second
+
+
+@settings(max_examples=5, deadline=None)
+@given(first=st.lists(st.one_of(st.none(), st.sampled_from(list("abcdefgh"))), max_size=12),
+       second=st.lists(st.one_of(st.none(), st.sampled_from(list("abcdefghij"))), max_size=12))
+def test_build_dim_twice_equals_once_and_ids_stay_dense(spark, first, second):
+    from ledgerstar.sinks import Warehouse
+
+    wh = Warehouse.fresh(spark, "prop")
+    name = _dim(spark, wh)
+    rows = lambda keys: _cp(spark, [(k, "NL", f"n{k}") for k in keys]) if keys else _cp(spark, [])
+    build_dim(rows(first), name, ["counterparty_add"], "counterparty_id")
+    before = {r["counterparty_add"]: r["counterparty_id"] for r in spark.table(name).collect()}
+    build_dim(rows(second), name, ["counterparty_add"], "counterparty_id")
+    build_dim(rows(second), name, ["counterparty_add"], "counterparty_id")  # again: no change
+    after = {r["counterparty_add"]: r["counterparty_id"] for r in spark.table(name).collect()}
+    assert spark.table(name).count() == len(after) == len(set(first) | set(second))
+    assert all(after[k] == v for k, v in before.items())  # existing ids never change
+    assert sorted(after.values()) == list(range(1, len(after) + 1))  # dense
+    new = sorted((k is not None, k or "") for k in after if k not in before)
+    assert [after[None if not has else k] for has, k in new] == list(range(len(before) + 1, len(after) + 1))

@@ -34,3 +34,14 @@ def test_suite_is_one_aggregation_pass(spark):
     physical = _plan(QQ.suite_report(spark, SF001)).split("== Physical Plan ==")[1]
     assert physical.count("Scan parquet") == 4  # the four input tables, each once
     assert physical.count("HashAggregate") == 2  # partial + final, one pass for all rules
+
+
+def test_no_single_partition_exchange_over_rows(spark):
+    """Only global aggregates may gather to one partition (one partial row per task)."""
+    for name in ("clean_rows", "staging_transactions", "to_euro", "emission_report", "quarantine_rows"):
+        physical = _plan(QQ.QUERIES[name](spark, SF001)).split("== Physical Plan ==")[1]
+        assert "SinglePartition" not in physical, name
+    wh = QQ.gold_loaded(spark, SF001, "plan-check")
+    dims = {d.table: spark.table(wh.table("gold", d.table)) for d in QQ.gold.DIMENSIONS}
+    physical = _plan(QQ.gold.resolve_fact_keys(QQ.staged(spark, SF001), dims)).split("== Physical Plan ==")[1]
+    assert "SinglePartition" not in physical and physical.count("BroadcastHashJoin") >= 4
