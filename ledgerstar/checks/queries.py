@@ -10,6 +10,7 @@ with them.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,8 +141,9 @@ def scan_catalog_table(spark, sf):
 
 def scan_temp_view(spark, sf):
     """A named view over a query, read from SQL."""
-    staged(spark, sf).createOrReplaceTempView("silver_temp")
-    return spark.sql("SELECT currency, amount_euro, payment_date, category_code FROM silver_temp")
+    view = f"silver_temp_{uuid.uuid4().hex[:8]}"
+    staged(spark, sf).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT currency, amount_euro, payment_date, category_code FROM {view}")
 
 
 def report_json_roundtrip(spark, sf):
