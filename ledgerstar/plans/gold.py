@@ -17,6 +17,7 @@ from ledgerstar import schemas
 from ledgerstar.operators.joins import lookup_join
 from ledgerstar.operators.keys import dense_ids
 from ledgerstar.operators.merge import build_dim, dedupe_by_key
+from ledgerstar.session import run_concurrently
 from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent, overwrite_table
 
 
@@ -77,7 +78,10 @@ def load_gold(wh: Warehouse, staging_names: dict[str, str]) -> dict[str, int]:
     """Merge the four dimensions, then append the facts; returns inserted counts."""
     ensure_gold(wh)
     spark = wh.spark
-    inserted = {d.table: load_dimension(wh, d, spark.table(staging_names[d.staging])) for d in DIMENSIONS}
+    # The four dimensions are independent: their jobs run side by side.
+    inserted = run_concurrently({
+        d.table: (lambda d=d: load_dimension(wh, d, spark.table(staging_names[d.staging])))
+        for d in DIMENSIONS})
     load_fact(wh, spark.table(staging_names["sta_transactions"]))
     return inserted
 

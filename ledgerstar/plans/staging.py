@@ -9,6 +9,7 @@ from ledgerstar import schemas
 from ledgerstar.constants import RAW_DROP_COLUMNS, RAW_RENAMES
 from ledgerstar.functions.columns import reorder_columns, require_columns
 from ledgerstar.functions.dates import calendar_parts, to_day
+from ledgerstar.session import run_concurrently
 from ledgerstar.sinks import Warehouse, overwrite_table
 from ledgerstar.sources.files import read_csv
 
@@ -82,8 +83,11 @@ def write_staging(wh: Warehouse, silver: DataFrame, categories: DataFrame,
 
     put(stage_transactions(silver), "sta_transactions")
     staged = wh.spark.table(names["sta_transactions"])
-    put(calendar_source(staged), "sta_calendar_dim")
-    put(counterparty_source(staged), "sta_counter_party_dim")
-    put(categories, "sta_category_dim")
-    put(rates, "sta_currency_dim")
+    # The four remaining tables are independent small jobs: run them side by side.
+    run_concurrently({
+        "sta_calendar_dim": lambda: put(calendar_source(staged), "sta_calendar_dim"),
+        "sta_counter_party_dim": lambda: put(counterparty_source(staged), "sta_counter_party_dim"),
+        "sta_category_dim": lambda: put(categories, "sta_category_dim"),
+        "sta_currency_dim": lambda: put(rates, "sta_currency_dim"),
+    })
     return names

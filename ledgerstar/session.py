@@ -9,9 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerstar", extra: dict | None = None) -> SparkSession:
@@ -61,3 +66,15 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, tag: str) -> str:
     """A new, unique folder below the shared root (one per run)."""
     return f"{shared_root(spark)}/ledgerstar/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def run_concurrently(tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent Spark actions from separate threads; Spark schedules
+    their jobs side by side. Results keep the input order; the first error
+    is raised once every task has finished."""
+    if len(tasks) <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        wait(futures.values())
+    return {name: future.result() for name, future in futures.items()}
