@@ -33,16 +33,25 @@ def salted_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str], how: s
     return salted_fact.join(salted_dim, [*key_cols, "_ls_salt"], how).drop("_ls_salt")
 
 
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``dim`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    limit = max_rows if max_rows is not None else _conf_int(dim, MAX_BROADCAST_ROWS_CONF,
+                                                             DEFAULT_MAX_BROADCAST_ROWS)
+    return dim.limit(limit + 1).count() <= limit
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str] | str, how: str = "left",
-                max_broadcast_rows: int | None = None, salt_buckets: int | None = None) -> DataFrame:
+                max_broadcast_rows: int | None = None, salt_buckets: int | None = None,
+                small: bool | None = None) -> DataFrame:
     """``fact JOIN dim USING (key_cols)``: broadcast when the dimension is small enough.
 
-    SQL equality: a NULL fact key finds no dimension row (left join: NULLs).
+    ``small`` is the result of ``fits_broadcast`` when the caller already
+    checked. SQL equality: a NULL fact key finds no dimension row (left join:
+    NULLs).
     """
     key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    limit = max_broadcast_rows if max_broadcast_rows is not None else _conf_int(
-        fact, MAX_BROADCAST_ROWS_CONF, DEFAULT_MAX_BROADCAST_ROWS)
-    # Size check that reads at most limit + 1 rows of the dimension.
-    if dim.limit(limit + 1).count() <= limit:
+    if small is None:
+        small = fits_broadcast(dim, max_broadcast_rows)
+    if small:
         return fact.join(F.broadcast(dim), key_cols, how)
     return salted_join(fact, dim, key_cols, how, salt_buckets)

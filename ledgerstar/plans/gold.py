@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstar import schemas
-from ledgerstar.operators.joins import lookup_join
+from ledgerstar.operators.joins import fits_broadcast, lookup_join
 from ledgerstar.operators.keys import dense_ids
 from ledgerstar.operators.merge import build_dim, dedupe_by_key
 from ledgerstar.session import run_concurrently
@@ -64,8 +64,10 @@ def resolve_fact_keys(transactions: DataFrame, dims: dict[str, DataFrame]) -> Da
     keeps a NULL id. Dimensions are unique per key, so no row fans out.
     """
     fact = transactions.select("amount_euro", *[d.key for d in DIMENSIONS])
+    lookups = {d.table: dims[d.table].select(d.key, d.id_col) for d in DIMENSIONS}
+    small = run_concurrently({t: (lambda df=df: fits_broadcast(df)) for t, df in lookups.items()})
     for d in DIMENSIONS:
-        fact = lookup_join(fact, dims[d.table].select(d.key, d.id_col), d.key, "left")
+        fact = lookup_join(fact, lookups[d.table], d.key, "left", small=small[d.table])
     return fact.select("amount_euro", "currency_id", "date_id", "category_id", "counterparty_id")
 
 
