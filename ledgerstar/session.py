@@ -49,15 +49,20 @@ def shared_root(spark: SparkSession) -> str:
     only) a fresh temporary folder, which is then also set as checkpoint dir.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir.rstrip("/")
     try:
         context = spark.sparkContext
     except Exception:  # no context object (e.g. a remote session): settings only
+        if conf_dir:
+            return conf_dir.rstrip("/")
         raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
-    conf_dir = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    conf_dir = conf_dir or context.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
+        if not context.getCheckpointDir():  # named as a session setting only
+            context.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    current = context.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
     local_dir = tempfile.mkdtemp(prefix="ledgerstar-")
     context.setCheckpointDir(local_dir)
     return local_dir
