@@ -7,8 +7,9 @@
     python -m ledgerstar audit
     python -m ledgerstar all      --bronze PATH --categories CSV
 
-Tables live below ``spark.checkpoint.dir`` (databases ``silver`` and
-``gold``); every step prints one JSON line.
+Tables live below ``--warehouse`` (default: a folder below
+``spark.checkpoint.dir``), in databases ``silver`` and ``gold``; every step
+prints one JSON line.
 """
 
 from __future__ import annotations
@@ -34,10 +35,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--categories")
     parser.add_argument("--reports")
     parser.add_argument("--name", help="input file name used to name the report")
+    parser.add_argument("--warehouse", help="root folder of the silver and gold layers "
+                                            "(default: <spark.checkpoint.dir>/ledgerstar/warehouse)")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ledgerstar-{args.step}").getOrCreate()
-    wh = Warehouse.default(spark)
+    wh = Warehouse(spark, args.warehouse.rstrip("/")) if args.warehouse else Warehouse.default(spark)
     silver_dir = args.silver or f"{wh.root}/silver/staging_parquet"
     out: dict = {"step": args.step}
     if args.step == "validate":

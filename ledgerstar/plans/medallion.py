@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstar import schemas
 from ledgerstar.operators.quality import (DEFAULT_SUITE, Rule, active_rules, clean_rows, conform_with_checks,
@@ -16,6 +18,24 @@ from ledgerstar.session import shared_root
 from ledgerstar.sinks import Warehouse, overwrite_parquet, write_json
 
 
+def write_report(report: DataFrame, path: str) -> None:
+    """Store a report as one JSON document ``{"success": ..., "results": [...]}``.
+
+    The results array has one entry per rule (a bounded list), sorted by rule
+    name so the document is the same on every run.
+    """
+    doc = report.agg(F.bool_and("success").alias("success"),
+                     F.array_sort(F.collect_list(F.struct(*report.columns))).alias("results"))
+    write_json(doc, path)  # a global aggregate: one row, one partition, one file
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The per-rule rows of a stored report document."""
+    schema = T.StructType([T.StructField("success", T.BooleanType()),
+                           T.StructField("results", T.ArrayType(schemas.VALIDATION_REPORT))])
+    return spark.read.schema(schema).json(path).select(F.inline("results"))
+
+
 @dataclass
 class Validation:
     success: bool
@@ -33,8 +53,8 @@ def validate(bronze: DataFrame, rules: Sequence[Rule] = DEFAULT_SUITE,
     conformed, cast_rules = conform_with_checks(bronze, schemas.BRONZE_TYPES)
     report = evaluate_suite(conformed, [*cast_rules, *rules])
     if result_path:
-        write_json(report, result_path)
-        report = bronze.sparkSession.read.schema(schemas.VALIDATION_REPORT).json(result_path)
+        write_report(report, result_path)
+        report = read_report(bronze.sparkSession, result_path)
     else:
         # One row per rule: store it so the data is scanned once, not once
         # for the success flag and again by whoever reads the report.
@@ -64,7 +84,7 @@ def clean_from_report(bronze: DataFrame, result_path: str, rules: Sequence[Rule]
     """Silver rows as decided by a stored report: the rules it marks as failed
     are applied as filters (rules that passed cannot remove rows). A report
     with no failure gives every row back unchanged."""
-    report = bronze.sparkSession.read.schema(schemas.VALIDATION_REPORT).json(result_path)
+    report = read_report(bronze.sparkSession, result_path)
     conformed, cast_rules = conform_with_checks(bronze, schemas.BRONZE_TYPES)
     failed = active_rules(report, [*cast_rules, *rules])
     return drop_raw(clean_rows(conformed, failed)) if failed else drop_raw(conformed)

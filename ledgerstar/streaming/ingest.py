@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerstar import schemas
 from ledgerstar.operators.quality import DEFAULT_SUITE, Rule, clean_rows, conform_with_checks, drop_raw, evaluate_suite
+from ledgerstar.plans.medallion import write_report
 
 BRONZE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in schemas.BRONZE_TYPES.items()])
 
@@ -38,7 +39,7 @@ def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_
         batch = batch.persist()
         checks = [*cast_rules, *rules]
         try:
-            evaluate_suite(batch, checks).write.mode("overwrite").json(f"{report_dir}/batch_id={batch_id}")
+            write_report(evaluate_suite(batch, checks), f"{report_dir}/batch_id={batch_id}")
             drop_raw(clean_rows(batch, checks)).write.mode("overwrite").parquet(f"{silver_dir}/batch_id={batch_id}")
         finally:
             batch.unpersist()
