@@ -25,10 +25,18 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str], how: str = "left",
-                buckets: int | None = None, seed: int = 17) -> DataFrame:
-    """Equi-join on ``key_cols`` with the fact side salted over ``buckets``."""
+                buckets: int | None = None) -> DataFrame:
+    """Equi-join on ``key_cols`` with the fact side salted over ``buckets``.
+
+    The salt is a hash of the whole fact row, not a random number: a task
+    recomputed after a lost executor sends every row to the same bucket as
+    before, whatever order its input arrives in. Rows of one hot key spread
+    over the buckets; exact copies share one, and AQE's skew-join split
+    divides such a partition by map output.
+    """
     buckets = buckets or _conf_int(fact, SALT_BUCKETS_CONF, DEFAULT_SALT_BUCKETS)
-    salted_fact = fact.withColumn("_ls_salt", F.floor(F.rand(seed) * buckets).cast("int"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)).cast("int")
+    salted_fact = fact.withColumn("_ls_salt", salt)
     salted_dim = dim.withColumn("_ls_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return salted_fact.join(salted_dim, [*key_cols, "_ls_salt"], how).drop("_ls_salt")
 
