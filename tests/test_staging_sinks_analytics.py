@@ -178,3 +178,22 @@ def test_run_medallion_end_to_end(spark, wh):
     again = run_medallion(spark, bronze, QQ.category_csv(spark, wh), currency_rates(spark), wh)
     assert set(again.values()) == {0}
     assert spark.table(wh.table("gold", "transactions")).count() == 2 * n_clean
+
+
+def test_to_euro_converts_cents_when_present(spark):
+    tx = spark.createDataFrame([("USD", 10.0, 1000), ("EUR", 2.0, 200)],
+                               "currency string, amount_euro double, amount_cent bigint")
+    got = sorted(tuple(r) for r in analytics.to_euro(tx, currency_rates(spark)).collect())
+    assert got == [("EUR", 2.0, 200.0), ("EUR", 8.5, 850.0)]
+
+
+def test_passing_report_copies_rows_unchanged(spark, wh):
+    from ledgerstar.operators import quality as Q
+    from ledgerstar.plans.medallion import clean_from_report, validate
+
+    good = Q.split_rows(QQ.bronze(spark, SF001), Q.DEFAULT_SUITE)[0]
+    path = f"{wh.root}/reports/clean__validation.json"
+    assert validate(good, Q.DEFAULT_SUITE, path).success is True
+    copied = clean_from_report(good, path)
+    assert copied.columns == good.columns and copied.exceptAll(good).count() == 0
+    assert copied.count() == good.count()
