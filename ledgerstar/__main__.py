@@ -39,7 +39,10 @@ def main(argv: list[str] | None = None) -> None:
                                             "(default: <spark.checkpoint.dir>/ledgerstar/warehouse)")
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"ledgerstar-{args.step}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"ledgerstar-{args.step}")
+             .config("spark.ui.enabled", "false")  # batch steps: no web UI (use event logs)
+             .config("spark.ui.showConsoleProgress", "false")
+             .getOrCreate())
     wh = Warehouse(spark, args.warehouse.rstrip("/")) if args.warehouse else Warehouse.default(spark)
     silver_dir = args.silver or f"{wh.root}/silver/staging_parquet"
     out: dict = {"step": args.step}
