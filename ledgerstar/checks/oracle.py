@@ -292,12 +292,12 @@ SELECT {_CALENDAR_COLS}, CAST(row_number() OVER (ORDER BY payment_date) AS INTEG
 }
 
 
-def _two_run(prefix: str, select: str) -> str:
-    # prefix starts with ", name AS (...)": appended to the shared CTE list
-    return f"WITH {BASE.strip()}\n{prefix.strip()}\n{select.strip()}"
+def _with_ctes(extra: str, select: str) -> str:
+    """``extra`` starts with ", name AS (...)": CTEs appended to the shared list."""
+    return f"WITH {BASE.strip()}\n{extra.strip()}\n{select.strip()}"
 
 
-ORACLE_SQL["union_dedupe_by_key"] = _two_run(f"""
+ORACLE_SQL["union_dedupe_by_key"] = _with_ctes(f"""
 , existing AS (SELECT {_CP_COLS}, 0 AS prio FROM cp_one_b1),
 incoming AS (SELECT {_CP_COLS}, 1 AS prio FROM cp_all),
 both_ AS (SELECT * FROM existing UNION ALL SELECT * FROM incoming),
@@ -307,13 +307,13 @@ one AS (SELECT {_CP_COLS} FROM both_
 SELECT {_CP_COLS}, CAST(row_number() OVER (ORDER BY counterparty_add NULLS FIRST) AS INTEGER) AS counterparty_id
 FROM one""")
 
-ORACLE_SQL["exists_then_create_or_merge"] = _two_run(
+ORACLE_SQL["exists_then_create_or_merge"] = _with_ctes(
     _CAL_TWO_RUNS, f"SELECT {_CALENDAR_COLS}, CAST(date_id AS INTEGER) AS date_id FROM t2")
 ORACLE_SQL["insert_only_merge"] = ORACLE_SQL["exists_then_create_or_merge"]
 ORACLE_SQL["dim_calendar"] = ORACLE_SQL["exists_then_create_or_merge"]
-ORACLE_SQL["insert_only_merge_null_keys"] = _two_run(
+ORACLE_SQL["insert_only_merge_null_keys"] = _with_ctes(
     _cp_two_runs(null_safe=False), f"SELECT {_CP_COLS}, CAST(counterparty_id AS INTEGER) AS counterparty_id FROM t2")
-ORACLE_SQL["dim_counterparty"] = _two_run(
+ORACLE_SQL["dim_counterparty"] = _with_ctes(
     _cp_two_runs(null_safe=True), f"SELECT {_CP_COLS}, CAST(counterparty_id AS INTEGER) AS counterparty_id FROM t2")
 ORACLE_SQL["insert_only_merge_dup_keys"] = _q(f"""
 SELECT {_CP_COLS}, CAST(row_number() OVER (ORDER BY counterparty_add NULLS FIRST,
@@ -321,8 +321,8 @@ SELECT {_CP_COLS}, CAST(row_number() OVER (ORDER BY counterparty_add NULLS FIRST
 FROM cp_all""")
 
 ORACLE_SQL.update({
-    "text_bronze_report": _two_run(_TEXT, _TEXT_REPORT),
-    "text_bronze_clean": _two_run(_TEXT, _TEXT_CLEAN),
+    "text_bronze_report": _with_ctes(_TEXT, _TEXT_REPORT),
+    "text_bronze_clean": _with_ctes(_TEXT, _TEXT_CLEAN),
     "fact_lookup": _q("SELECT * FROM g_fact"),
     "fact_lookup_using_names": _q(_fact_keys()),
     "fact_append_twice": _q("SELECT * FROM g_fact UNION ALL SELECT * FROM g_fact"),
