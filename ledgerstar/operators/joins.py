@@ -1,10 +1,11 @@
 """Lookup joins from a large fact side to a dimension.
 
-The dimension's size is checked (a row count capped at the limit + 1, the
-only value that reaches the driver) before it is broadcast. Above the limit the join is a shuffle
-join with the fact side salted: each fact row gets a salt in [0, S) and the
-dimension is replicated S times, so a key holding a large share of the fact
-rows is spread over S tasks instead of one.
+The dimension's size is checked before it is broadcast: a row count capped
+at the limit + 1, the only value that reaches the driver. Above the limit
+the join is a shuffle join with the fact side salted. Each fact row gets a
+salt in [0, S) from a hash of the row, and the dimension is replicated S
+times, so a key holding a large share of the fact rows is spread over S
+tasks instead of one.
 """
 
 from __future__ import annotations
