@@ -320,7 +320,32 @@ SELECT {_CP_COLS}, CAST(row_number() OVER (ORDER BY counterparty_add NULLS FIRST
        counterparty_country NULLS FIRST, counterparty_name NULLS FIRST) AS INTEGER) AS counterparty_id
 FROM cp_all""")
 
+_STAR_CTES = """
+, star AS (
+  SELECT cat.category_name, cp.counterparty_country,
+         CASE WHEN cur.currency <> 'EUR'
+              THEN CAST(round(CAST(f.amount_euro AS DECIMAL(20,6)) * CAST(cur.conversion_rate AS DECIMAL(12,6)), 3)
+                        AS DOUBLE)
+              ELSE f.amount_euro END AS amount_eur,
+         cat.co2_multiplier
+  FROM g_fact f
+  LEFT JOIN g_currency cur ON f.currency_id = cur.currency_id
+  JOIN g_category cat ON f.category_id = cat.category_id
+  LEFT JOIN g_counterparty cp ON f.counterparty_id = cp.counterparty_id
+),
+e AS (SELECT *, CAST(round(CAST(amount_eur AS DECIMAL(20,6)) * CAST(co2_multiplier AS DECIMAL(12,6)), 2)
+                     AS DOUBLE) AS co2_emission_g FROM star)
+"""
+_STAR_SELECT = """
+SELECT category_name, counterparty_country,
+       CAST(sum(CAST(co2_emission_g AS DECIMAL(38,2))) AS DOUBLE) / count(co2_emission_g) AS mean_co2_emission_g,
+       CAST(sum(CAST(co2_emission_g AS DECIMAL(38,2))) AS DOUBLE) AS total_co2_emission_g,
+       CAST(sum(CAST(amount_eur AS DECIMAL(38,3))) AS DOUBLE) AS total_amount_eur,
+       count(*) AS transactions
+FROM e GROUP BY category_name, counterparty_country"""
+
 ORACLE_SQL.update({
+    "star_emission_by_category_country": _with_ctes(_STAR_CTES, _STAR_SELECT),
     "text_bronze_report": _with_ctes(_TEXT, _TEXT_REPORT),
     "text_bronze_clean": _with_ctes(_TEXT, _TEXT_CLEAN),
     "fact_lookup": _q("SELECT * FROM g_fact"),

@@ -74,3 +74,29 @@ def mean_emission_by_category(report: DataFrame) -> DataFrame:
 def emission_points(report: DataFrame) -> DataFrame:
     """Amount against emission, per category: the scatter plot's data."""
     return report.select("amount_euro", "co2_emission_g", "category_name")
+
+
+def star_emissions(fact: DataFrame, currency_dim: DataFrame, category_dim: DataFrame,
+                   counterparty_dim: DataFrame) -> DataFrame:
+    """Emission per category and country, read from the star schema.
+
+    Fact rows resolve their surrogate ids against the dimensions (size-checked
+    lookups), amounts in another currency are converted with the currency
+    dimension's rate, and spend without a category (no multiplier) is left
+    out. Same arithmetic as ``to_euro`` and ``with_emission``.
+    """
+    rows = lookup_join(fact, currency_dim.select("currency_id", "currency", "conversion_rate"), "currency_id")
+    rows = lookup_join(rows, category_dim.select("category_id", "category_name", "co2_multiplier"),
+                       "category_id", "inner")
+    rows = lookup_join(rows, counterparty_dim.select("counterparty_id", "counterparty_country"),
+                       "counterparty_id")
+    foreign = F.col("currency") != F.lit(EURO)
+    euro = F.when(foreign, rounded_product("amount_euro", "conversion_rate", 3)).otherwise(F.col("amount_euro"))
+    rows = rows.withColumn("amount_eur", euro).withColumn(
+        "co2_emission_g", rounded_product("amount_eur", "co2_multiplier", 2))
+    return rows.groupBy("category_name", "counterparty_country").agg(
+        exact_mean("co2_emission_g").alias("mean_co2_emission_g"),
+        exact_sum("co2_emission_g").alias("total_co2_emission_g"),
+        exact_sum("amount_eur", 3).alias("total_amount_eur"),
+        F.count(F.lit(1)).alias("transactions"),
+    )
