@@ -45,6 +45,18 @@ def max_id(target: DataFrame, id_col: str) -> DataFrame:
     return target.agg(F.coalesce(F.max(id_col).cast("bigint"), F.lit(0).cast("bigint")).alias("max_id"))
 
 
+_TYPE_MAX = {"int": 2**31 - 1, "integer": 2**31 - 1, "bigint": 2**63 - 1, "long": 2**63 - 1}
+
+
+def _checked(new_id: Column, id_type: str) -> Column:
+    """Cast to ``id_type``, failing on overflow whatever the session's ANSI mode."""
+    limit = _TYPE_MAX.get(id_type)
+    if limit is None or limit == 2**63 - 1:
+        return new_id.cast(id_type)
+    return F.when(new_id > F.lit(limit), F.raise_error(F.lit(f"surrogate id exceeds the {id_type} range"))) \
+        .otherwise(new_id).cast(id_type)
+
+
 def _base(df: DataFrame, base: DataFrame | int) -> Column:
     """The base as a column: a literal, or a scalar subquery over a one-row frame."""
     if isinstance(base, DataFrame):
@@ -60,7 +72,8 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
 
     ``base`` is an int or a one-row, one-column frame (e.g. ``max_id``); a
     frame stays in the plan as a scalar subquery instead of being collected.
-    Ids that do not fit ``id_type`` fail (ANSI cast) rather than wrap.
+    Ids that do not fit ``id_type`` fail rather than wrap, with or without
+    ANSI mode.
 
     The input is checkpointed first (unless ``materialized`` says it already
     is), so the row count, the range sampling and the shuffle read stored
@@ -84,7 +97,7 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
         # At most one partition's worth of rows (just counted): a single
         # ordered window is the same work as one range partition.
         rank = F.row_number().over(Window.orderBy(*keys, *ties))
-        return df.withColumn(id_col, (base_col + rank).cast(id_type))
+        return df.withColumn(id_col, _checked(base_col + rank, id_type))
 
     parts = min(MAX_PARTITIONS, -(-total // rows_per_partition))
     # Last tie-break: the row's position in the stored input (deterministic,
@@ -105,5 +118,5 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     starts = sizes.select("_ls_part", F.coalesce(F.sum("_ls_n").over(before), F.lit(0)).alias("_ls_start"))
     # starts has at most `parts` rows: a bounded broadcast.
     numbered = ranked.join(F.broadcast(starts), "_ls_part")
-    new_id = (base_col + F.col("_ls_start") + F.col("_ls_pos") + F.lit(1)).cast(id_type)
-    return numbered.withColumn(id_col, new_id).select(*df.columns, id_col)
+    new_id = base_col + F.col("_ls_start") + F.col("_ls_pos") + F.lit(1)
+    return numbered.withColumn(id_col, _checked(new_id, id_type)).select(*df.columns, id_col)

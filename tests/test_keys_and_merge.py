@@ -133,3 +133,15 @@ def test_build_dim_twice_equals_once_and_ids_stay_dense(spark, first, second):
     assert sorted(after.values()) == list(range(1, len(after) + 1))  # dense
     new = sorted((k is not None, k or "") for k in after if k not in before)
     assert [after[None if not has else k] for has, k in new] == list(range(len(before) + 1, len(after) + 1))
+
+
+def test_id_overflow_fails_without_ansi_too(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        with pytest.raises(Exception, match="exceeds"):
+            dense_ids(df, ["k"], "id", base=2**31 - 2).collect()
+        assert sorted(r["id"] for r in dense_ids(df, ["k"], "id", base=2**31 - 3).collect()) == [2**31 - 2, 2**31 - 1]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
