@@ -29,8 +29,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _currency(line: Column) -> Column:
-    expr = F.when(F.lit(False), F.lit(None).cast("string"))
-    for i, code in enumerate(LINE_CURRENCY, start=1):
+    """CASE line WHEN 1 THEN 'EUR' ... END (NULL past the list)."""
+    (first, *rest) = enumerate(LINE_CURRENCY, start=1)
+    expr = F.when(line == first[0], F.lit(first[1]))
+    for i, code in rest:
         expr = expr.when(line == i, F.lit(code))
     return expr
 
