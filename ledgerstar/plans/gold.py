@@ -19,6 +19,7 @@ from ledgerstar.operators.keys import dense_ids
 from ledgerstar.operators.merge import build_dim, dedupe_by_key
 from ledgerstar.session import run_concurrently
 from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent, overwrite_table
+from ledgerstar.sources.files import table_exists
 
 
 @dataclass(frozen=True)
@@ -105,7 +106,7 @@ def create_or_merge(wh: Warehouse, dim: Dimension, staging: DataFrame) -> int:
     """First load creates the table (ids from 1); later loads merge insert-only."""
     name = wh.table("gold", dim.table)
     wh.ensure_database("gold")
-    if not wh.spark.catalog.tableExists(name):
+    if not table_exists(wh.spark, name):
         columns = [f.name for f in dim.schema.fields if f.name != dim.id_col]
         first = dense_ids(dedupe_by_key(staging.select(*columns), [dim.key]), [dim.key], dim.id_col)
         overwrite_table(first, name, wh.location("gold", dim.table))

@@ -15,6 +15,7 @@ from ledgerstar.operators.quality import (DEFAULT_SUITE, Rule, active_rules, cle
 from ledgerstar.plans.gold import load_gold
 from ledgerstar.plans.staging import write_staging
 from ledgerstar.session import shared_root
+from ledgerstar.sources.files import read_json
 from ledgerstar.sinks import Warehouse, overwrite_parquet, write_json
 
 
@@ -33,7 +34,7 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     """The per-rule rows of a stored report document."""
     schema = T.StructType([T.StructField("success", T.BooleanType()),
                            T.StructField("results", T.ArrayType(schemas.VALIDATION_REPORT))])
-    return spark.read.schema(schema).json(path).select(F.inline("results"))
+    return read_json(spark, path, schema).select(F.inline("results"))
 
 
 @dataclass
