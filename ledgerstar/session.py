@@ -60,12 +60,10 @@ def shared_root(spark: SparkSession) -> str:
         if not context.getCheckpointDir():  # named as a session setting only
             context.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    local_dir = tempfile.mkdtemp(prefix="ledgerstar-")
-    context.setCheckpointDir(local_dir)
-    return local_dir
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerstar-"))
+    # Spark adds a unique subfolder; every call returns that same path.
+    return context.getCheckpointDir().rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, tag: str) -> str:
