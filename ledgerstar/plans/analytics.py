@@ -5,6 +5,8 @@
 * ``emission_report``: one country, one category excluded, five columns.
 * ``mean_emission_by_category`` and ``emission_points``: the data behind the
   bar chart (mean per category) and the scatter plot.
+* ``star_emissions``: the same arithmetic read from the gold star schema,
+  per category and country.
 """
 
 from __future__ import annotations
