@@ -45,3 +45,5 @@ def test_no_single_partition_exchange_over_rows(spark):
     dims = {d.table: spark.table(wh.table("gold", d.table)) for d in QQ.gold.DIMENSIONS}
     physical = _plan(QQ.gold.resolve_fact_keys(QQ.staged(spark, SF001), dims)).split("== Physical Plan ==")[1]
     assert "SinglePartition" not in physical and physical.count("BroadcastHashJoin") >= 4
+    # all four dimensions broadcast: the fact rows themselves are never shuffled
+    assert "hashpartitioning" not in physical and "SortMergeJoin" not in physical
