@@ -47,3 +47,14 @@ def test_no_single_partition_exchange_over_rows(spark):
     assert "SinglePartition" not in physical and physical.count("BroadcastHashJoin") >= 4
     # all four dimensions broadcast: the fact rows themselves are never shuffled
     assert "hashpartitioning" not in physical and "SortMergeJoin" not in physical
+
+
+def test_null_safe_anti_join_is_an_equi_join(spark):
+    """`<=>` keys must not degrade into a nested-loop join against a large dimension."""
+    from ledgerstar.operators.merge import new_rows_only
+
+    src = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    tgt = spark.createDataFrame([("a", 1)], "k string, v int")
+    for null_safe in (True, False):
+        plan = _plan(new_rows_only(src, tgt, ["k"], null_safe=null_safe))
+        assert "NestedLoopJoin" not in plan and ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan)
