@@ -48,8 +48,9 @@ def test_append_is_by_name_never_positional(spark, wh):
     wh.ensure_database("gold")
     name = wh.table("gold", "transactions")
     create_table_if_absent(spark, name, schemas.TRANSACTIONS_FACT, wh.location("gold", "transactions"))
-    rows = spark.createDataFrame([(123.75, 1, 2, 3, 4)],
-                                 "amount_euro double, currency_id int, date_id int, category_id int, counterparty_id int")
+    rows = spark.createDataFrame(
+        [(123.75, 1, 2, 3, 4)],
+        "amount_euro double, currency_id int, date_id int, category_id int, counterparty_id int")
     append_by_name(rows, name)
     [r] = spark.table(name).collect()
     assert (r["amount_euro"], r["currency_id"], r["counterparty_id"]) == (123.75, 1, 4)
