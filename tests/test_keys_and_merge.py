@@ -148,3 +148,11 @@ def test_id_overflow_fails_without_ansi_too(spark):
         assert sorted(r["id"] for r in dense_ids(df, ["k"], "id", base=2**31 - 3).collect()) == [2**31 - 2, 2**31 - 1]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_union_dedupe_treats_null_keys_as_one_member(spark):
+    existing = spark.createDataFrame([(None, "old", 4), ("B", "b", 9)], "k string, v string, id int")
+    incoming = spark.createDataFrame([(None, "new"), ("A", "a"), (None, "newer")], "k string, v string")
+    got = sorted((r["k"] or "", r["v"], r["id"]) for r in
+                 union_dedupe_by_key(existing, incoming, ["k"], "id").collect())
+    assert got == [("", "old", 1), ("A", "a", 2), ("B", "b", 3)]
