@@ -1,7 +1,7 @@
 """Lookup joins from a large fact side to a dimension.
 
-The dimension's size is checked before it is broadcast: a row count capped
-at the limit + 1, the only value that reaches the driver. Above the limit
+The dimension's size is checked before it is broadcast: its row count (one
+partial count per task, the only value that reaches the driver). Above the limit
 the join is a shuffle join with the fact side salted. Each fact row gets a
 salt in [0, S) from a hash of the row, and the dimension is replicated S
 times, so a key holding a large share of the fact rows is spread over S
@@ -43,10 +43,15 @@ def salted_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str], how: s
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    """Whether ``dim`` has at most ``max_rows`` rows.
+
+    A plain count: partial counts per task, one row each to the final task
+    (on parquet no column is read). A ``limit(n + 1).count()`` would instead
+    gather up to n + 1 rows from every task into a single partition.
+    """
     limit = max_rows if max_rows is not None else _conf_int(dim, MAX_BROADCAST_ROWS_CONF,
                                                              DEFAULT_MAX_BROADCAST_ROWS)
-    return dim.limit(limit + 1).count() <= limit
+    return dim.count() <= limit
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str] | str, how: str = "left",
