@@ -34,8 +34,10 @@ DIM = 8
 SIZES = (3, 4, 5)
 #: Words in half a window; windows overlap by half.
 HALF = 16
+#: An n-gram is learned when this many sampled documents have it: rarer ones tell documents apart, not toxicity.
+LEAST_DOCS = 4
 #: Added to the number of n-grams when a window is averaged, so that a window of a few n-grams isn't extreme.
-PRIOR = 60
+PRIOR = 150
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -151,12 +153,12 @@ def _bags(texts: DataFrame) -> DataFrame:
 class _Net:
     """Embeddings, their mean over a bag, a linear softmax of two classes; trained by Adagrad on mini-batches."""
 
-    def __init__(self, seed: int):
+    def __init__(self, size: int, seed: int):
         rng = np.random.default_rng(seed)
-        self.e = rng.normal(0, 0.1, (1 << BUCKET_BITS, DIM)).astype(np.float32)
+        self.e = rng.normal(0, 0.1, (size, DIM)).astype(np.float32)
         self.w = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32)
         self.c = np.zeros(2)
-        self.ge, self.gw, self.gc = np.full(1 << BUCKET_BITS, 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
+        self.ge, self.gw, self.gc = np.full(size, 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
 
     def logits(self, window: np.ndarray, bucket: np.ndarray, n: np.ndarray) -> np.ndarray:
         z = self.e @ self.w
@@ -182,17 +184,18 @@ class _Net:
         self.c -= rate * 0.2 * dc / np.sqrt(self.gc)
 
 
-def _fit_net(window, bucket, y, weight, seed, epochs=6, size=512) -> _Net:
-    net, rng = _Net(seed), np.random.default_rng(seed)
+def _fit_net(window, bucket, n, y, weight, seed, steps=200, size=512) -> _Net:
+    """``steps`` mini-batches, however small the sample is."""
+    net, rng = _Net(int(bucket.max(initial=0)) + 1, seed), np.random.default_rng(seed)
     cuts = np.searchsorted(window, np.arange(len(y) + 1))
-    n = np.diff(cuts)
-    for _ in range(epochs):
-        order = rng.permutation(np.flatnonzero(weight > 0))
+    used = np.flatnonzero(weight > 0)
+    for _ in range(-(-steps * size // max(1, len(used)))):
+        order = rng.permutation(used)
         for lo in range(0, len(order), size):
             pick = order[lo : lo + size]
-            lens = n[pick]
+            lens = np.diff(cuts)[pick]
             at = np.repeat(cuts[pick] - np.r_[0, np.cumsum(lens)[:-1]], lens) + np.arange(lens.sum())
-            net.step(np.repeat(np.arange(len(pick)), lens), bucket[at], lens, y[pick], weight[pick])
+            net.step(np.repeat(np.arange(len(pick)), lens), bucket[at], n[pick], y[pick], weight[pick])
     return net
 
 
@@ -248,6 +251,11 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
         base += int(n[0])
     window, bucket, y, doc = np.concatenate(window), np.concatenate(bucket), np.array(y), np.array(doc)
     n = np.bincount(window, minlength=len(y))
+    pairs = np.unique(doc[window] * (1 << BUCKET_BITS) + bucket)
+    common = np.bincount(pairs % (1 << BUCKET_BITS), minlength=1 << BUCKET_BITS) >= min(LEAST_DOCS, len(bags))
+    learned = np.flatnonzero(common)
+    kept = common[bucket]
+    window, bucket = window[kept], np.searchsorted(learned, bucket[kept])
     marks = np.array([label for label, _ in bags])
     fold = (np.arange(len(bags)) % 2)[doc]
 
@@ -258,7 +266,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
         """Margins of all windows, and the highest of each document, from the models that have not seen them."""
         margin = np.zeros(len(y))
         for f in (0, 1):
-            both = _fit_net(window, bucket, y, np.where(fold == f, weight, 0.0), seed).logits(window, bucket, n)
+            both = _fit_net(window, bucket, n, y, np.where(fold == f, weight, 0.0), seed).logits(window, bucket, n)
             margin = np.where(fold == f, margin, both[:, 1] - both[:, 0])
         best = np.full(len(bags), -np.inf)
         np.maximum.at(best, doc, margin)
@@ -270,10 +278,12 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
         clean = np.quantile(margin[y == 0], 0.99)
         lit = (y == 1) & ((margin > clean) | (margin >= best[doc]))
     margin, best = crossed(weights(lit))
-    net = _fit_net(window, bucket, y, weights(lit), seed)
+    net = _fit_net(window, bucket, n, y, weights(lit), seed)
     # Toxic documents are rare in a corpus: clean ones weigh ten times as much in the calibration.
     slope, shift = _logistic(best, marks, np.where(marks == 1, 1.0, 10.0))
-    return Model((net.e @ (net.w[:, 1] - net.w[:, 0])).astype(np.float32), float(net.c[1] - net.c[0]), slope, shift)
+    table = np.zeros(1 << BUCKET_BITS, dtype=np.float32)
+    table[learned] = (net.e @ (net.w[:, 1] - net.w[:, 0]))[: len(learned)]
+    return Model(table, float(net.c[1] - net.c[0]), slope, shift)
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
