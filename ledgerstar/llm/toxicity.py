@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from ledgerstar.llm.common import LOWER, SPACE, mix64, pack, sliced, text_buffer, unpack
 
 #: Largest training sample, documents of each class (those with the least id hash).
-SAMPLE_PER_CLASS = 1000
+SAMPLE_PER_CLASS = 800
 #: Most windows of one document in the training sample (spread evenly over it).
-SAMPLE_WINDOWS = 10
+SAMPLE_WINDOWS = 8
 BUCKET_BITS = 17
 DIM = 8
 SIZES = (3, 4, 5)
@@ -161,8 +161,11 @@ class _Net:
         self.ge, self.gw, self.gc = np.full(size, 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
 
     def logits(self, window: np.ndarray, bucket: np.ndarray, n: np.ndarray) -> np.ndarray:
-        z = self.e @ self.w
-        out = np.stack([np.bincount(window, weights=z[bucket, k], minlength=len(n)) for k in (0, 1)], axis=1)
+        z, out = self.e @ self.w, np.zeros((len(n), 2))
+        for lo in range(0, len(window), 1 << 20):
+            piece = slice(lo, lo + (1 << 20))
+            for k in (0, 1):
+                out[:, k] += np.bincount(window[piece], weights=z[bucket[piece], k], minlength=len(n))
         return out / (n + PRIOR)[:, None] + self.c
 
     def step(self, window, bucket, n, y, weight, rate=0.5):
@@ -241,23 +244,28 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
     bags.sort(key=lambda r: (r[0], len(r[1][0]), r[1][0].tobytes(), r[1][1].tobytes()))
     if {label for label, _ in bags} != {0, 1}:
         return None
-    window, bucket, y, doc, base = [], [], [], [], 0
-    for k, (label, (w, b, n)) in enumerate(bags):
+    spread = np.zeros(1 << BUCKET_BITS, dtype=np.int32)  # documents that have the n-gram
+    for _, (_, b, _) in bags:
+        spread[np.unique(b)] += 1
+    learned = np.flatnonzero(spread >= min(LEAST_DOCS, len(bags)))
+    place = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
+    place[learned] = np.arange(len(learned), dtype=np.int32)
+    marks = np.array([label for label, _ in bags])
+    sizes = np.array([int(n[0]) for _, (_, _, n) in bags])
+    first = np.r_[0, np.cumsum(sizes)]
+    y, doc = np.repeat(marks, sizes), np.repeat(np.arange(len(bags)), sizes)
+    n = np.zeros(len(y), dtype=np.int64)  # all n-grams of a window, learned or not
+    window, bucket = [], []
+    for k, (_, (w, b, _)) in enumerate(bags):
+        n[first[k] : first[k + 1]] = np.bincount(w, minlength=sizes[k])
+        kept = place[b] >= 0
+        w, b = w[kept], place[b[kept]]
         order_ = np.argsort(w, kind="stable")
-        window.append(w[order_].astype(np.int64) + base)
+        window.append(w[order_] + np.int32(first[k]))
         bucket.append(b[order_])
-        y += [label] * int(n[0])
-        doc += [k] * int(n[0])
-        base += int(n[0])
-    window, bucket, y, doc = np.concatenate(window), np.concatenate(bucket), np.array(y), np.array(doc)
-    n = np.bincount(window, minlength=len(y))
-    pairs = np.unique(doc[window] * (1 << BUCKET_BITS) + bucket)
-    common = np.bincount(pairs % (1 << BUCKET_BITS), minlength=1 << BUCKET_BITS) >= min(LEAST_DOCS, len(bags))
-    learned = np.flatnonzero(common)
-    kept = common[bucket]
-    window, bucket = window[kept], np.searchsorted(learned, bucket[kept])
-    marks = np.array([label for label, _ in bags])
-    fold = (np.arange(len(bags)) % 2)[doc]
+    del bags
+    window, bucket = np.concatenate(window), np.concatenate(bucket)
+    fold = (np.arange(len(marks)) % 2)[doc]
 
     def weights(lit: np.ndarray) -> np.ndarray:
         return np.where(y == 0, 0.5 / max(1, (y == 0).sum()), np.where(lit, 0.5 / max(1, lit.sum()), 0.0)) * len(y)
@@ -268,7 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
         for f in (0, 1):
             both = _fit_net(window, bucket, n, y, np.where(fold == f, weight, 0.0), seed).logits(window, bucket, n)
             margin = np.where(fold == f, margin, both[:, 1] - both[:, 0])
-        best = np.full(len(bags), -np.inf)
+        best = np.full(len(marks), -np.inf)
         np.maximum.at(best, doc, margin)
         return margin, best
 

@@ -111,8 +111,8 @@ def test_base_spans():
 def test_network_ranks_bare_secrets_above_plain_runs(spark):
     model = secrets.train(spark.read.parquet(f"{SF1}/documents.parquet"))
     rng = random.Random(3)
-    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=20)) for _ in range(40)]
-    plain = ["someone.else@mail.example.com", "https://www.example.com/en/23", "Unbelievable-but-plain", "chapters.and.verses"]
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=19)) + "7" for _ in range(40)]
+    plain = ["someone.else@mail.example.com", "https://www.example.com/en/23", "abridged.chapters.and.verses"]
 
     def probability(run):
         text = f"the word of {run} and the rest"
