@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--silver")
     parser.add_argument("--categories")
     parser.add_argument("--reports")
+    parser.add_argument("--report", help="stored validation report that decides how silver is written")
     parser.add_argument("--name", help="input file name used to name the report")
     parser.add_argument("--warehouse", help="root folder of the silver and gold layers "
                                             "(default: <spark.checkpoint.dir>/ledgerstar/warehouse)")
@@ -52,7 +53,8 @@ def main(argv: list[str] | None = None) -> None:
         v = validate(spark.read.parquet(args.bronze), result_path=path)
         out.update(success=v.success, result_path=v.result_path)
     elif args.step == "silver":
-        out["rows"] = bronze_to_silver(spark.read.parquet(args.bronze), silver_dir).count()
+        out["rows"] = bronze_to_silver(spark.read.parquet(args.bronze), silver_dir,
+                                       result_path=args.report).count()
     elif args.step == "stage":
         names = staging.write_staging(wh, spark.read.parquet(silver_dir),
                                       staging.read_category_map(spark, args.categories), currency_rates(spark))
@@ -66,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         out["inserted"] = run_medallion(spark, spark.read.parquet(args.bronze),
                                         staging.read_category_map(spark, args.categories),
-                                        currency_rates(spark), wh)
+                                        currency_rates(spark), wh, result_path=args.report)
     print(json.dumps(out, default=str))
 
 

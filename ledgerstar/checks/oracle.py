@@ -4,7 +4,7 @@ The text is written from the semantics, not from the Spark plans: the bronze
 derivation, the cleaning predicates, dense ids as ``row_number() OVER (ORDER
 BY key)`` plus the previous maximum, merges as ``UNION ALL ... WHERE NOT
 EXISTS``. Views ``lineitem part supplier nation events`` are provided by the
-checker. Money products are rounded on decimals, as in the engine.
+checker. Money products are rounded half-up on the double product's shortest decimal form.
 """
 
 from __future__ import annotations
@@ -83,7 +83,7 @@ rates AS ({_values_rates()}),
 euro AS (
   SELECT CASE WHEN s.currency <> 'EUR' THEN 'EUR' ELSE s.currency END AS currency,
          CASE WHEN s.currency <> 'EUR'
-              THEN CAST(round(CAST(s.amount_euro AS DECIMAL(20,6)) * CAST(r.conversion_rate AS DECIMAL(12,6)), 3)
+              THEN CAST(round(CAST(CAST(s.amount_euro * r.conversion_rate AS VARCHAR) AS DECIMAL(38,15)), 3)
                         AS DOUBLE)
               ELSE s.amount_euro END AS amount_euro,
          s.payment_date, s.counterparty_country, s.counterparty_name, s.category_code, s.counterparty_add
@@ -91,7 +91,7 @@ euro AS (
 ),
 emission AS (
   SELECT e.*, c.category_name, c.co2_multiplier,
-         CAST(round(CAST(e.amount_euro AS DECIMAL(20,6)) * CAST(c.co2_multiplier AS DECIMAL(12,6)), 2)
+         CAST(round(CAST(CAST(e.amount_euro * c.co2_multiplier AS VARCHAR) AS DECIMAL(38,15)), 2)
               AS DOUBLE) AS co2_emission_g
   FROM euro e LEFT JOIN categories c ON e.category_code = c.category_code
 ),
@@ -324,7 +324,7 @@ _STAR_CTES = """
 , star AS (
   SELECT cat.category_name, cp.counterparty_country,
          CASE WHEN cur.currency <> 'EUR'
-              THEN CAST(round(CAST(f.amount_euro AS DECIMAL(20,6)) * CAST(cur.conversion_rate AS DECIMAL(12,6)), 3)
+              THEN CAST(round(CAST(CAST(f.amount_euro * cur.conversion_rate AS VARCHAR) AS DECIMAL(38,15)), 3)
                         AS DOUBLE)
               ELSE f.amount_euro END AS amount_eur,
          cat.co2_multiplier
@@ -333,14 +333,14 @@ _STAR_CTES = """
   JOIN g_category cat ON f.category_id = cat.category_id
   LEFT JOIN g_counterparty cp ON f.counterparty_id = cp.counterparty_id
 ),
-e AS (SELECT *, CAST(round(CAST(amount_eur AS DECIMAL(20,6)) * CAST(co2_multiplier AS DECIMAL(12,6)), 2)
+e AS (SELECT *, CAST(round(CAST(CAST(amount_eur * co2_multiplier AS VARCHAR) AS DECIMAL(38,15)), 2)
                      AS DOUBLE) AS co2_emission_g FROM star)
 """
 _STAR_SELECT = """
 SELECT category_name, counterparty_country,
-       CAST(sum(CAST(co2_emission_g AS DECIMAL(38,2))) AS DOUBLE) / count(co2_emission_g) AS mean_co2_emission_g,
-       CAST(sum(CAST(co2_emission_g AS DECIMAL(38,2))) AS DOUBLE) AS total_co2_emission_g,
-       CAST(sum(CAST(amount_eur AS DECIMAL(38,3))) AS DOUBLE) AS total_amount_eur,
+       CAST(format('{:.11e}', sum(co2_emission_g) / count(co2_emission_g)) AS DOUBLE) AS mean_co2_emission_g,
+       CAST(format('{:.11e}', sum(co2_emission_g)) AS DOUBLE) AS total_co2_emission_g,
+       CAST(format('{:.11e}', sum(amount_eur)) AS DOUBLE) AS total_amount_eur,
        count(*) AS transactions
 FROM e GROUP BY category_name, counterparty_country"""
 
@@ -371,6 +371,17 @@ UNION ALL SELECT 'transactions', count(*) FROM g_fact"""),
 SELECT bool_and(success) AS success, count(*) AS rules, count(*) FILTER (WHERE NOT success) AS failed_rules
 FROM ({_SUITE}) r"""),
     "clean_rows": _q("SELECT * FROM silver"),
+    "silver_from_report": _q("SELECT * FROM silver"),
+    "silver_passing_unchanged": _q("""
+SELECT booking_id, acct_ccy, bookg_amt, bookg_amt_nmrc, ctpty_nm, 'ref ' || booking_id AS rmt_inf_ustrd2,
+       'purchase' AS tx_tp, ctpty_adr_line1 AS ctpty_adr_line2
+FROM flagged WHERE NOT (v_amount OR v_cents OR v_currency OR v_gmt OR v_cet)"""),
+    "money_extremes": """
+SELECT l_orderkey, l_linenumber,
+       CAST(round(CAST(CAST(l_extendedprice * 1e10 * (l_linenumber * 3.7e-8) AS VARCHAR) AS DECIMAL(38,15)), 3) AS DOUBLE) AS large_times_small,
+       CAST(round(CAST(CAST(l_quantity * 1e5 * 4e-7 AS VARCHAR) AS DECIMAL(38,15)), 3) AS DOUBLE) AS small_rate,
+       CAST(format('{:.11e}', sum(l_quantity * 0.0004) OVER (PARTITION BY l_returnflag)) AS DOUBLE) AS fine_sum
+FROM lineitem""",
     "quarantine_rows": _q(f"""
 SELECT booking_id, acct_ccy, bookg_amt, bookg_amt_nmrc, bookg_dt_tm_cet, bookg_dt_tm_gmt, dtld_tx_tp,
        ctpty_nm, ctpty_ctry, ctpty_adr_line1, {_FAILED} AS failed_rules
@@ -378,9 +389,9 @@ FROM flagged WHERE v_amount OR v_cents OR v_currency OR v_gmt OR v_cet"""),
     "unexpected_values": _q("""
 SELECT rule, "column", value, count(*) AS unexpected_n FROM (
   SELECT 'amount_not_negative' AS rule, 'bookg_amt' AS "column",
-         CAST(CAST(bookg_amt AS DECIMAL(38,6)) AS VARCHAR) AS value FROM flagged WHERE v_amount
+         CAST(bookg_amt AS VARCHAR) AS value FROM flagged WHERE v_amount
   UNION ALL
-  SELECT 'amount_cents_not_negative', 'bookg_amt_nmrc', CAST(CAST(bookg_amt_nmrc AS DECIMAL(38,6)) AS VARCHAR)
+  SELECT 'amount_cents_not_negative', 'bookg_amt_nmrc', CAST(bookg_amt_nmrc AS VARCHAR)
   FROM flagged WHERE v_cents
   UNION ALL
   SELECT 'currency_known', 'acct_ccy', acct_ccy FROM flagged WHERE v_currency
@@ -392,8 +403,8 @@ SELECT rule, "column", value, count(*) AS unexpected_n FROM (
     "emission_report": _q("SELECT * FROM report"),
     "emission_mean_by_category": _q("""
 SELECT category_name,
-       CAST(sum(CAST(co2_emission_g AS DECIMAL(38,2))) AS DOUBLE) / count(co2_emission_g) AS mean_co2_emission_g,
-       CAST(sum(CAST(co2_emission_g AS DECIMAL(38,2))) AS DOUBLE) AS total_co2_emission_g,
+       CAST(format('{:.11e}', sum(co2_emission_g) / count(co2_emission_g)) AS DOUBLE) AS mean_co2_emission_g,
+       CAST(format('{:.11e}', sum(co2_emission_g)) AS DOUBLE) AS total_co2_emission_g,
        count(co2_emission_g) AS transactions
 FROM report GROUP BY category_name"""),
     "emission_points": _q("SELECT amount_euro, co2_emission_g, category_name FROM report"),

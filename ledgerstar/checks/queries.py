@@ -384,6 +384,44 @@ def text_bronze_clean(spark, sf):
     return bronze_to_silver(text_bronze(spark, sf), f"{wh.root}/silver/staging_parquet")
 
 
+def silver_from_report(spark, sf):
+    """Silver as a stored report decides; this input fails, so its rows are cleaned."""
+    from ledgerstar.plans.medallion import bronze_to_silver
+
+    wh = Warehouse.fresh(spark, "from-report")
+    path = Q.report_path_for("transactions_bronze.parquet", f"{wh.root}/reports")
+    validate(bronze(spark, sf), Q.DEFAULT_SUITE, path)
+    return bronze_to_silver(bronze(spark, sf), f"{wh.root}/silver/staging_parquet", result_path=path)
+
+
+def silver_passing_unchanged(spark, sf):
+    """An input that passes every rule is copied with its free-text columns."""
+    from ledgerstar.plans.medallion import bronze_to_silver
+
+    wh = Warehouse.fresh(spark, "passing")
+    noted = bronze(spark, sf).withColumns({
+        "rmt_inf_ustrd2": F.concat(F.lit("ref "), F.col("booking_id").cast("string")),
+        "tx_tp": F.lit("purchase"), "ctpty_adr_line2": F.col("ctpty_adr_line1")})
+    good, _ = Q.split_rows(noted, Q.DEFAULT_SUITE)
+    copied = bronze_to_silver(good, f"{wh.root}/silver/staging_parquet")
+    return copied.select("booking_id", "acct_ccy", "bookg_amt", "bookg_amt_nmrc", "ctpty_nm",
+                         "rmt_inf_ustrd2", "tx_tp", "ctpty_adr_line2")
+
+
+def money_extremes(spark, sf):
+    """rates below 1e-6, amounts above 1e14 and sums of values finer than the rounding places."""
+    from ledgerstar.functions.money import rounded_product, steady_sum
+
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet")
+    sums = rows.groupBy("l_returnflag").agg(steady_sum(F.col("l_quantity") * 0.0004).alias("fine_sum"))
+    return rows.join(sums, "l_returnflag").select(
+        "l_orderkey", "l_linenumber",
+        rounded_product(F.col("l_extendedprice") * 1e10, F.col("l_linenumber") * 3.7e-8, 3).alias("large_times_small"),
+        rounded_product(F.col("l_quantity") * 1e5, F.lit(4e-7), 3).alias("small_rate"),
+        "fine_sum",
+    )
+
+
 def suite_report(spark, sf):
     return Q.evaluate_suite(bronze(spark, sf), Q.DEFAULT_SUITE)
 
@@ -467,6 +505,9 @@ def counterparty_lookup_salted(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "silver_from_report": silver_from_report,
+    "silver_passing_unchanged": silver_passing_unchanged,
+    "money_extremes": money_extremes,
     "scan_parquet": scan_parquet,
     "scan_parquet_glob": scan_parquet_glob,
     "scan_csv_roundtrip": scan_csv_roundtrip,

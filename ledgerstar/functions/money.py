@@ -1,8 +1,10 @@
-"""Money arithmetic.
+"""Money arithmetic on DOUBLE amounts.
 
-Amounts are DOUBLE in the tables, but every product that gets rounded is
-computed on DECIMALs: ``round`` then works on the exact decimal product
-(half-up), so the result does not depend on binary representation error.
+A rounded product is ``round(amount * factor, n)`` of the two doubles, half-up
+on the product's shortest decimal form: no amount or factor is narrowed first.
+Sums add doubles in whatever order rows arrive; the result is rounded to twelve
+significant digits, which takes away what the order changed and keeps small and
+large totals alike.
 """
 
 from __future__ import annotations
@@ -10,26 +12,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Scale used for amounts and factors inside money arithmetic.
-AMOUNT_DECIMAL = "decimal(20,6)"
-FACTOR_DECIMAL = "decimal(12,6)"
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def rounded_product(amount: Column | str, factor: Column | str, scale: int) -> Column:
-    """``round(amount * factor, scale)`` on decimals, returned as DOUBLE."""
-    product = _col(amount).cast(AMOUNT_DECIMAL) * _col(factor).cast(FACTOR_DECIMAL)
-    return F.round(product, scale).cast("double")
+    """``round(amount * factor, scale)``, half-up."""
+    return F.round(_col(amount) * _col(factor), scale)
+
+
+def _steady(value: Column) -> Column:
+    """Twelve significant digits of a DOUBLE."""
+    return F.format_string("%.11e", value).cast("double")
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Order-independent sum of a DOUBLE column holding ``scale`` decimals."""
-    return F.sum(_col(value).cast(f"decimal(38,{scale})")).cast("double")
+def steady_sum(value: Column | str) -> Column:
+    """Sum to twelve significant digits; NULL without values."""
+    total = F.sum(_col(value))
+    return F.when(total.isNotNull(), _steady(total))
 
 
-def exact_mean(value: Column | str, scale: int = 2) -> Column:
-    """Mean as (exact decimal sum, as DOUBLE) / count; NULLs are skipped."""
-    return exact_sum(value, scale) / F.count(_col(value))
+def steady_mean(value: Column | str) -> Column:
+    """Mean to twelve significant digits; NULLs are skipped."""
+    mean = F.sum(_col(value)) / F.count(_col(value))
+    return F.when(F.count(_col(value)) > 0, _steady(mean))

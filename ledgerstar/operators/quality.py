@@ -67,7 +67,7 @@ class Between(Rule):
         return F.coalesce(functools.reduce(operator.or_, outside), _false())
 
     def value(self) -> Column:
-        return F.col(self.column).cast("decimal(38,6)").cast("string")
+        return F.col(self.column).cast("string")
 
 
 @dataclass(frozen=True)
@@ -90,13 +90,17 @@ class NotNull(Rule):
 
 @dataclass(frozen=True)
 class Castable(Rule):
-    """A raw value is present but does not cast to ``type_name``."""
+    """A raw value is present but does not cast to ``type_name``, or the cast changes its number (a fraction cut off)."""
 
     type_name: str = "string"
 
     def violation(self) -> Column:
         c = F.col(self.column)
-        return F.coalesce(c.isNotNull() & c.try_cast(self.type_name).isNull(), _false())
+        broken = c.isNotNull() & c.try_cast(self.type_name).isNull()
+        if self.type_name in ("tinyint", "smallint", "int", "bigint", "float", "double") or self.type_name.startswith("decimal"):
+            as_number = c.try_cast("string").try_cast("double")
+            broken = broken | (c.isNotNull() & (as_number != c.try_cast(self.type_name).cast("double")))
+        return F.coalesce(broken, _false())
 
     @property
     def reported_column(self) -> str:
@@ -238,6 +242,9 @@ def unexpected_values(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def active_rules(report: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
     """Rules a stored report marks as failed (the report has one row per rule)."""
     failed = {r["rule"] for r in report.filter(~F.col("success")).select("rule").collect()}
+    unknown = failed - {r.name for r in rules}
+    if unknown:
+        raise ValueError(f"the report marks rules as failed that are not given: {sorted(unknown)}")
     return [r for r in rules if r.name in failed]
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstar.constants import EXCLUDED_CATEGORY_NAME
-from ledgerstar.functions.money import exact_mean, exact_sum, rounded_product
+from ledgerstar.functions.money import steady_mean, steady_sum, rounded_product
 from ledgerstar.operators.joins import lookup_join
 
 EURO = "EUR"
@@ -67,8 +67,8 @@ def emission_report(transactions: DataFrame, categories: DataFrame, country: str
 def mean_emission_by_category(report: DataFrame) -> DataFrame:
     """Mean emission (and count, total) per category name."""
     return report.groupBy("category_name").agg(
-        exact_mean("co2_emission_g").alias("mean_co2_emission_g"),
-        exact_sum("co2_emission_g").alias("total_co2_emission_g"),
+        steady_mean("co2_emission_g").alias("mean_co2_emission_g"),
+        steady_sum("co2_emission_g").alias("total_co2_emission_g"),
         F.count("co2_emission_g").alias("transactions"),
     )
 
@@ -97,8 +97,8 @@ def star_emissions(fact: DataFrame, currency_dim: DataFrame, category_dim: DataF
     rows = rows.withColumn("amount_eur", euro).withColumn(
         "co2_emission_g", rounded_product("amount_eur", "co2_multiplier", 2))
     return rows.groupBy("category_name", "counterparty_country").agg(
-        exact_mean("co2_emission_g").alias("mean_co2_emission_g"),
-        exact_sum("co2_emission_g").alias("total_co2_emission_g"),
-        exact_sum("amount_eur", 3).alias("total_amount_eur"),
+        steady_mean("co2_emission_g").alias("mean_co2_emission_g"),
+        steady_sum("co2_emission_g").alias("total_co2_emission_g"),
+        steady_sum("amount_eur").alias("total_amount_eur"),
         F.count(F.lit(1)).alias("transactions"),
     )

@@ -15,10 +15,9 @@ from pyspark.sql import types as T
 
 from ledgerstar import schemas
 from ledgerstar.operators.joins import fits_broadcast, lookup_join
-from ledgerstar.operators.keys import dense_ids
-from ledgerstar.operators.merge import build_dim, dedupe_by_key
+from ledgerstar.operators.merge import build_dim
 from ledgerstar.session import run_concurrently
-from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent, overwrite_table
+from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent
 from ledgerstar.sources.files import table_exists
 
 
@@ -103,12 +102,12 @@ def gold_audit(wh: Warehouse) -> DataFrame:
 
 
 def create_or_merge(wh: Warehouse, dim: Dimension, staging: DataFrame) -> int:
-    """First load creates the table (ids from 1); later loads merge insert-only."""
+    """First load creates the table (ids from 1); later loads merge insert-only.
+
+    A folder that already holds the dimension is never replaced: a catalog that does not know it takes it over.
+    """
     name = wh.table("gold", dim.table)
     wh.ensure_database("gold")
     if not table_exists(wh.spark, name):
-        columns = [f.name for f in dim.schema.fields if f.name != dim.id_col]
-        first = dense_ids(dedupe_by_key(staging.select(*columns), [dim.key]), [dim.key], dim.id_col)
-        overwrite_table(first, name, wh.location("gold", dim.table))
-        return wh.spark.table(name).count()
+        create_table_if_absent(wh.spark, name, dim.schema, wh.location("gold", dim.table))
     return load_dimension(wh, dim, staging)

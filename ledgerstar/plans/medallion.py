@@ -66,17 +66,27 @@ def validate(bronze: DataFrame, rules: Sequence[Rule] = DEFAULT_SUITE,
 
 
 def bronze_to_silver(bronze: DataFrame, silver_path: str,
-                     rules: Sequence[Rule] = DEFAULT_SUITE) -> DataFrame:
-    """Write the silver parquet: cleaned rows (every row when none fails)."""
-    conformed, cast_rules = conform_with_checks(bronze, schemas.BRONZE_TYPES)
-    overwrite_parquet(drop_raw(clean_rows(conformed, [*cast_rules, *rules])), silver_path)
+                     rules: Sequence[Rule] = DEFAULT_SUITE, result_path: str | None = None) -> DataFrame:
+    """Write the silver parquet: rows unchanged when every rule passes, else cleaned rows.
+
+    Whether rules failed is read from the report at ``result_path``, or found out by one pass over the input.
+    """
+    if result_path is not None:
+        silver = clean_from_report(bronze, result_path, rules)
+    else:
+        conformed, cast_rules = conform_with_checks(bronze, schemas.BRONZE_TYPES)
+        suite = [*cast_rules, *rules]
+        passed = suite_summary(evaluate_suite(conformed, suite)).first()["success"]
+        silver = drop_raw(conformed if passed else clean_rows(conformed, suite))
+    overwrite_parquet(silver, silver_path)
     return bronze.sparkSession.read.parquet(silver_path)
 
 
 def run_medallion(spark: SparkSession, bronze: DataFrame, categories: DataFrame, rates: DataFrame,
-                  wh: Warehouse, rules: Sequence[Rule] = DEFAULT_SUITE) -> dict[str, int]:
+                  wh: Warehouse, rules: Sequence[Rule] = DEFAULT_SUITE,
+                  result_path: str | None = None) -> dict[str, int]:
     """Full batch: silver parquet, five staging tables, gold merge and fact append."""
-    silver = bronze_to_silver(bronze, f"{wh.root}/silver/staging_parquet", rules)
+    silver = bronze_to_silver(bronze, f"{wh.root}/silver/staging_parquet", rules, result_path)
     names = write_staging(wh, silver, categories, rates)
     return load_gold(wh, names)
 

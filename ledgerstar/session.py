@@ -61,6 +61,8 @@ def shared_root(spark: SparkSession) -> str:
             context.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
     if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerstar-"))
     # Spark adds a unique subfolder; every call returns that same path.
     return context.getCheckpointDir().rstrip("/")

