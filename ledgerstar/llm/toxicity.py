@@ -48,7 +48,7 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
     doc = np.repeat(np.arange(n_docs), np.diff(offsets))
     grown[np.arange(len(data)) + doc + 1] = np.where(SPACE[data], np.uint8(0x20), LOWER[data])
     space = grown == 0x20
-    echo = _echoes(grown, space)
+    echo = _echoes(grown, space, offsets[:-1] + np.arange(n_docs))
     h = grown.astype(np.uint64)
     for n in range(2, max(SIZES) + 1):
         h = h[:-1] * np.uint64(0x100000001B3) + grown[n - 1 :] + np.uint64(n)
@@ -60,8 +60,11 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
             yield at, (mix64(h[at]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
 
 
-def _echoes(grown: np.ndarray, space: np.ndarray) -> np.ndarray:
-    """Bytes of words that repeat one of the two words before: a repeated word says nothing new, but would fill a window's average."""
+def _echoes(grown: np.ndarray, space: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Bytes of words that repeat one of the two words before: a repeated word says nothing new, but would fill a window's average.
+
+    ``firsts``: where each text starts; a word only repeats words of its own text.
+    """
     edge = np.flatnonzero(np.diff(np.r_[True, space, True].astype(np.int8)))
     start, end = edge[0::2], edge[1::2]
     if not len(start):
@@ -69,9 +72,10 @@ def _echoes(grown: np.ndarray, space: np.ndarray) -> np.ndarray:
     place = np.arange(len(grown)) - np.repeat(np.r_[0, start], np.diff(np.r_[0, start, len(grown)]))
     digest = np.r_[np.uint64(0), np.cumsum(mix64(grown.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(8))))]
     word = digest[end] - digest[start]
+    text = np.searchsorted(firsts, start, side="right")
     same = np.zeros(len(word), dtype=bool)
     for back in (1, 2):
-        same[back:] |= word[back:] == word[:-back]
+        same[back:] |= (word[back:] == word[:-back]) & (text[back:] == text[:-back])
     mark = np.zeros(len(grown) + 1, dtype=np.int8)
     mark[start[same]] += 1
     mark[end[same]] -= 1

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +274,15 @@ def test_toxicity_held_out(spark):
     assert toxicity.train(docs, labels.limit(0)) is None
 
 
+def test_a_toxic_score_does_not_depend_on_the_texts_beside_it():
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=1 << toxicity.BUCKET_BITS).astype(np.float32), 0.1, 2.0, -0.5)
+    texts = ["one two three", "three two one one", "", "one", None, "one one", "  ", "two one " * 40, "two one"]
+    together = model.scores(*toxicity.text_buffer(pa.array(texts, pa.string())))
+    alone = [model.scores(*toxicity.text_buffer(pa.array([t], pa.string())))[0] for t in texts]
+    assert together.tolist() == alone
+
+
 def test_quality_held_out(spark):
     docs, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
     held = queries.hash_fold("doc_id", 5) == 0
