@@ -36,6 +36,8 @@ SIZES = (3, 4, 5)
 HALF = 16
 #: An n-gram is learned when this many sampled documents have it: rarer ones tell documents apart, not toxicity.
 LEAST_DOCS = 4
+#: Text scored at once inside a task: the arrays of a piece take about 60 times its size.
+SCORE_BYTES = 1 << 19
 #: Added to the number of n-grams when a window is averaged, so that a window of a few n-grams isn't extreme.
 PRIOR = 150
 
@@ -303,7 +305,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
     fields = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=SCORE_BYTES):
             score = np.zeros(batch.num_rows) if model is None else model.scores(*text_buffer(batch.column("text")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "__score"])
 
