@@ -1,7 +1,7 @@
 """Lookup joins from a large fact side to a dimension.
 
-The dimension's size is checked before it is broadcast: its row count (one
-partial count per task, the only value that reaches the driver). Above the limit
+The dimension's size is checked before it is broadcast: its rows and bytes (one
+partial aggregate per task, the only values that reach the driver). Above either limit
 the join is a shuffle join with the fact side salted. Each fact row gets a
 salt in [0, S) from a hash of the row, and the dimension is replicated S
 times, so a key holding a large share of the fact rows is spread over S
@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS_CONF = "ledgerstar.join.maxBroadcastRows"
+MAX_BROADCAST_BYTES_CONF = "ledgerstar.join.maxBroadcastBytes"
 SALT_BUCKETS_CONF = "ledgerstar.join.saltBuckets"
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 128 << 20
 DEFAULT_SALT_BUCKETS = 16
+_BYTES_PER_VALUE = 16  # a value's share of its row in a broadcast table, besides its text
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
@@ -43,15 +46,20 @@ def salted_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str], how: s
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether ``dim`` has at most ``max_rows`` rows.
+    """Whether ``dim`` has at most ``max_rows`` rows and fits the limit on bytes.
 
-    A plain count: partial counts per task, one row each to the final task
-    (on parquet no column is read). A ``limit(n + 1).count()`` would instead
-    gather up to n + 1 rows from every task into a single partition.
+    One aggregate with a partial row per task. Bytes are estimated as the
+    length of every value's text plus a fixed share per value, so a dimension
+    of few but long values counts as large. A ``limit(n + 1).count()`` would
+    instead gather up to n + 1 rows from every task into a single partition.
     """
     limit = max_rows if max_rows is not None else _conf_int(dim, MAX_BROADCAST_ROWS_CONF,
                                                              DEFAULT_MAX_BROADCAST_ROWS)
-    return dim.count() <= limit
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("bigint") for c in dim.columns]
+    row_bytes = sum(lengths, F.lit(_BYTES_PER_VALUE * len(dim.columns)).cast("bigint"))
+    size = dim.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()
+    return size["rows"] <= limit and size["bytes"] <= _conf_int(dim, MAX_BROADCAST_BYTES_CONF,
+                                                                DEFAULT_MAX_BROADCAST_BYTES)
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str] | str, how: str = "left",

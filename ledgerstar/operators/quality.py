@@ -225,7 +225,7 @@ def unexpected_values(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Every distinct offending value per rule with its count.
 
     Long format ``(rule, column, value, unexpected_n)``; value is text.
-    One scan; each row contributes one entry per rule it breaks, and the
+    One scan; only rows that break a rule go on, with one entry per rule they break, and the
     count is a partial (map-side) aggregation, so a hot value is combined
     before the shuffle.
     """
@@ -235,7 +235,7 @@ def unexpected_values(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                                         r.value().alias("value")))
         for r in rules
     ])
-    hits = df.select(F.explode(F.array_compact(entries)).alias("hit")).select("hit.*")
+    hits = df.filter(violation_flag(rules)).select(F.explode(F.array_compact(entries)).alias("hit")).select("hit.*")
     return hits.groupBy("rule", "column", "value").agg(F.count(F.lit(1)).alias("unexpected_n"))
 
 

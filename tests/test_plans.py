@@ -58,3 +58,15 @@ def test_null_safe_anti_join_is_an_equi_join(spark):
     for null_safe in (True, False):
         plan = _plan(new_rows_only(src, tgt, ["k"], null_safe=null_safe))
         assert "NestedLoopJoin" not in plan and ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan)
+
+
+def test_few_long_values_are_not_broadcast(spark):
+    from ledgerstar.operators.joins import MAX_BROADCAST_BYTES_CONF, fits_broadcast
+
+    dim = spark.range(0, 100).selectExpr("id", "repeat('x', 1000) AS `long.text`", "CAST(NULL AS STRING) AS none")
+    assert fits_broadcast(dim) and fits_broadcast(dim.limit(0), 0) and not fits_broadcast(dim, 99)
+    spark.conf.set(MAX_BROADCAST_BYTES_CONF, str(100_000))
+    try:
+        assert not fits_broadcast(dim) and fits_broadcast(dim.drop("long.text"))
+    finally:
+        spark.conf.unset(MAX_BROADCAST_BYTES_CONF)
