@@ -7,9 +7,11 @@ and predicate split on each micro-batch. ``trigger(availableNow=True)``
 processes what has landed and stops, so it can run on a schedule; without it
 the stream keeps running.
 
-Exactly-once output: each micro-batch overwrites its own folders
-(``batch_id=<n>``) for silver rows and the report, so a batch replayed after a
-failure replaces its earlier output instead of duplicating it.
+Each micro-batch overwrites its own folders (``stream=<id>/batch_id=<n>``) for
+silver rows and the report, so a batch replayed after a failure replaces its
+earlier output instead of duplicating it. The id belongs to the stream's
+checkpoint: if that is lost, the stream takes all files again under a new id and
+leaves the older output alone; ``read_silver`` takes one stream or all of them.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,25 +27,26 @@ from ledgerstar import schemas
 from ledgerstar.operators.quality import DEFAULT_SUITE, Rule, clean_rows, conform_with_checks, drop_raw, evaluate_suite
 from ledgerstar.plans.medallion import write_report
 
-BRONZE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in schemas.BRONZE_TYPES.items()])
-
 
 def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_dir: str,
                   checkpoint_location: str, rules: Sequence[Rule] = DEFAULT_SUITE,
-                  schema: T.StructType = BRONZE_SCHEMA, max_files_per_trigger: int = 1000,
+                  schema: T.StructType | None = None, max_files_per_trigger: int = 1000,
                   available_now: bool = True) -> StreamingQuery:
-    """Start the ingestion stream; returns the running query."""
+    """Start the ingestion stream; returns the running query.
+
+    ``schema`` defaults to that of the files landed so far: every column is
+    kept, and one of another type is cast and checked as in the batch steps.
+    """
     rules = list(rules)
+    schema = schema or spark.read.parquet(bronze_dir).schema
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        stream_id = spark.read.schema("id string").json(f"{checkpoint_location}/metadata").filter("id IS NOT NULL").first()["id"]
+        folder = f"stream={stream_id}/batch_id={batch_id}"
         batch, cast_rules = conform_with_checks(batch, schemas.BRONZE_TYPES)
-        batch = batch.persist()
         checks = [*cast_rules, *rules]
-        try:
-            write_report(evaluate_suite(batch, checks), f"{report_dir}/batch_id={batch_id}")
-            drop_raw(clean_rows(batch, checks)).write.mode("overwrite").parquet(f"{silver_dir}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        write_report(evaluate_suite(batch, checks), f"{report_dir}/{folder}")
+        drop_raw(clean_rows(batch, checks)).write.mode("overwrite").parquet(f"{silver_dir}/{folder}")
 
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -52,6 +56,7 @@ def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_
     return writer.start()
 
 
-def read_silver(spark: SparkSession, silver_dir: str) -> DataFrame:
-    """All silver rows written by the stream (without the batch folder column)."""
-    return spark.read.parquet(silver_dir).drop("batch_id")
+def read_silver(spark: SparkSession, silver_dir: str, stream: str | None = None) -> DataFrame:
+    """Silver rows written by one stream, or by all (without the folder columns)."""
+    rows = spark.read.parquet(silver_dir)
+    return (rows if stream is None else rows.filter(F.col("stream") == stream)).drop("stream", "batch_id")

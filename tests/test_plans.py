@@ -4,6 +4,7 @@ import contextlib
 import io
 
 from conftest import SF001
+from pyspark.sql import functions as F
 from ledgerstar.checks import queries as QQ
 
 
@@ -70,3 +71,26 @@ def test_few_long_values_are_not_broadcast(spark):
         assert not fits_broadcast(dim) and fits_broadcast(dim.drop("long.text"))
     finally:
         spark.conf.unset(MAX_BROADCAST_BYTES_CONF)
+
+
+def test_stream_of_text_columns_keeps_every_column_and_older_output(spark, wh):
+    from ledgerstar.checks.queries import text_bronze
+    from ledgerstar.plans.medallion import bronze_to_silver
+    from ledgerstar.streaming.ingest import ingest_bronze, read_silver
+
+    landing = f"{wh.root}/landing"
+    raw = text_bronze(spark, SF001).withColumn("note", F.col("ctpty_nm"))
+    raw.repartition(2, "booking_id").write.parquet(landing)
+    want = bronze_to_silver(spark.read.parquet(landing), f"{wh.root}/batch")
+
+    def run(checkpoint):
+        ingest_bronze(spark, landing, f"{wh.root}/stream", f"{wh.root}/reports", f"{wh.root}/{checkpoint}",
+                      max_files_per_trigger=1).awaitTermination()
+        return read_silver(spark, f"{wh.root}/stream")
+
+    got = run("first").select(want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and "note" in want.columns
+    assert run("first").count() == want.count()  # nothing new has landed
+    assert run("second").count() == 2 * want.count()  # a lost checkpoint overwrites nothing
+    ids = [r["stream"] for r in spark.read.parquet(f"{wh.root}/stream").select("stream").distinct().collect()]
+    assert [read_silver(spark, f"{wh.root}/stream", i).count() for i in ids] == [want.count()] * 2
