@@ -1,0 +1,37 @@
+"""The whole job: nothing that an operator has to read is left out."""
+
+import numpy as np
+
+from ledgerstar.llm import secrets
+
+
+def digits_are_secret():
+    """A stand-in for the network: windows with eight digits among the candidate's characters are secrets."""
+
+    class Net:
+        def logits(self, x):
+            body = x[:, secrets.SIDE : secrets.SIDE + secrets.BODY]
+            return np.where(((body >= 48) & (body <= 57)).sum(axis=1) >= 8, 9.0, -9.0)
+
+    return secrets.Model(Net(), 1.0, 0.0, 0.9)
+
+
+def model_spans(spark, texts, model):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [t for t in r["__spans"] if t["kind"] == "model"] for r in secrets.find(docs, model).collect()}
+    return [[t[s["start"] : s["end"]] for s in got[k]] for k, t in enumerate(texts)]
+
+
+def test_secrets_behind_the_first_40_characters(spark):
+    path = "config/production/services/payments/primary/"
+    long = path * 30 + "Zq83Lm20Xc57Vb41Nn96" + "/" + path[:-1]
+    assert model_spans(spark, [f"see {long} here", f"see {path * 3}x here"], digits_are_secret()) == [[long], []]
+    for n in range(12, 200):
+        parts = secrets.windows(5, 5 + n)
+        assert parts[0][0] == 5 and parts[-1][1] == 5 + n and all(e - a == min(n, secrets.BODY) for a, e in parts)
+        assert all(b[0] <= a[1] - secrets.BODY // 2 for a, b in zip(parts, parts[1:], strict=False))
+
+
+def test_long_examples_are_calibrated_by_their_highest_window(spark):
+    rows = [(k, f"password = {'Zq83Lm20Xc57Vb41Nn96'}{k:04d} and some.where.in/the/{'middle/of/' * 8}path{k} ends") for k in range(400)]
+    assert 0 < secrets.train(spark.createDataFrame(rows, "doc_id long, text string")).threshold <= 1
