@@ -1,5 +1,7 @@
 """The whole job: nothing that an operator has to read is left out."""
 
+import re
+
 import numpy as np
 
 from ledgerstar.llm import secrets
@@ -46,3 +48,14 @@ def test_secrets_beside_base_findings_and_in_one_case(spark):
     out = secrets.redact(spark.createDataFrame([(1, texts[0])], "doc_id long, text string"), digits_are_secret()).first().text
     assert out == "id [secret][secret] end"
     assert secrets.candidates(texts[1], [(0, "hex", 99), (3, "hex", 5)]) == []
+
+
+def test_the_threshold_recalls_known_secrets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model, codes = secrets.train(docs), []
+    for (text,) in docs.select("text").filter("text RLIKE '(?i)(password|passwd|secret|token|api_?key)'").collect():
+        for a, kind, e in secrets.base_spans(text):
+            if kind == "assign":
+                value = re.search(r"[A-Za-z0-9+/_.=-]+\Z", text[a:e])
+                codes.append(secrets.encode(text, a + value.start(), e))
+    assert len(codes) > 100 and (model.probabilities(np.stack(codes)) >= model.threshold).mean() > 0.95
