@@ -27,8 +27,8 @@ from ledgerstar.llm.common import LOWER, SPACE, mix64, pack, sliced, text_buffer
 
 #: Largest training sample, documents of each class (those with the least id hash).
 SAMPLE_PER_CLASS = 800
-#: Most windows of one document in the training sample (spread evenly over it).
-SAMPLE_WINDOWS = 8
+#: Text of each class in the training sample, in bytes: documents are taken until they reach it, each with all its windows.
+SAMPLE_BYTES = 8 << 20
 BUCKET_BITS = 17
 DIM = 8
 SIZES = (3, 4, 5)
@@ -133,29 +133,39 @@ class Model:
 
 
 def _bags(texts: DataFrame) -> DataFrame:
-    """(label, bags): for each sampled text its windows as packed (window, bucket) pairs."""
+    """(label, bags): for each sampled text the buckets of its n-grams by half window, and how many each half window has, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, limit=1):
             data, offsets = text_buffer(batch.column("text"))
             half, first = half_windows(data, offsets)
-            n = int(first[-1])
-            keep = np.unique(np.linspace(0, n - 1, min(n, SAMPLE_WINDOWS)).astype(int))
-            window, bucket = [], []
-            for at, b in ngrams(data, offsets):
-                where = half[at]
-                for shift in (0, 1):  # a half window counts in the window that starts there and in the one before
-                    hit = np.searchsorted(keep, where - shift)
-                    ok = (hit < len(keep)) & (keep[np.minimum(hit, len(keep) - 1)] == where - shift)
-                    window.append(hit[ok].astype(np.int32))
-                    bucket.append(b[ok])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array([pack(np.concatenate(window), np.concatenate(bucket), np.array([len(keep)]))], pa.binary())], names=["label", "bags"]
-            )
+            where, bucket = (np.concatenate(c) for c in zip(*((half[at], b) for at, b in ngrams(data, offsets)), strict=True))
+            bags = pack(bucket[np.argsort(where, kind="stable")], np.bincount(where, minlength=int(first[-1])))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([bags], pa.binary())], names=["label", "bags"])
 
     return texts.select("label", "text").mapInArrow(run, "label int, bags binary")
 
 
+@dataclass(frozen=True)
+class _Windows:
+    """All windows of the sample: learned n-grams by half window. Window w has the half windows from w up to ends[w]."""
+
+    bucket: np.ndarray
+    cuts: np.ndarray  # where each half window's n-grams begin
+    ends: np.ndarray
+    n: np.ndarray  # all n-grams of each window, learned or not
+
+    def bags(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``pick``, bucket) of every learned n-gram of the picked windows."""
+        lens = self.cuts[self.ends[pick]] - self.cuts[pick]
+        at = np.repeat(self.cuts[pick] - np.r_[0, np.cumsum(lens)[:-1]], lens) + np.arange(lens.sum())
+        return np.repeat(np.arange(len(pick)), lens), self.bucket[at]
+
+    def logits(self, net: _Net) -> np.ndarray:
+        picks = (np.arange(lo, min(lo + 2048, len(self.n))) for lo in range(0, len(self.n), 2048))
+        return np.concatenate([net.logits(*self.bags(pick), self.n[pick]) for pick in picks])
+
+
 class _Net:
     """Embeddings, their mean over a bag, a linear softmax of two classes; trained by Adagrad on mini-batches."""
 
@@ -193,18 +203,15 @@ class _Net:
         self.c -= rate * 0.2 * dc / np.sqrt(self.gc)
 
 
-def _fit_net(window, bucket, n, y, weight, seed, steps=200, size=512) -> _Net:
+def _fit_net(windows: _Windows, y, weight, seed, steps=200, size=512) -> _Net:
     """``steps`` mini-batches, however small the sample is."""
-    net, rng = _Net(int(bucket.max(initial=0)) + 1, seed), np.random.default_rng(seed)
-    cuts = np.searchsorted(window, np.arange(len(y) + 1))
+    net, rng = _Net(int(windows.bucket.max(initial=0)) + 1, seed), np.random.default_rng(seed)
     used = np.flatnonzero(weight > 0)
     for _ in range(-(-steps * size // max(1, len(used)))):
         order = rng.permutation(used)
         for lo in range(0, len(order), size):
             pick = order[lo : lo + size]
-            lens = np.diff(cuts)[pick]
-            at = np.repeat(cuts[pick] - np.r_[0, np.cumsum(lens)[:-1]], lens) + np.arange(lens.sum())
-            net.step(np.repeat(np.arange(len(pick)), lens), bucket[at], n[pick], y[pick], weight[pick])
+            net.step(*windows.bags(pick), windows.n[pick], y[pick], weight[pick])
     return net
 
 
@@ -233,7 +240,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
-    """Fit on at most ``per_class`` labelled documents of each class; None when a class has no document.
+    """Fit on at most ``per_class`` labelled documents of each class, with all their windows; None when a class has no document.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and toxic. A document labelled twice counts as toxic when any
     label says so; null labels and ids are left out.
@@ -242,35 +249,40 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
     known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     order = F.xxhash64("doc_id", F.lit(seed))
     chosen = known.filter("label = 0").orderBy(order, "doc_id").limit(per_class).unionAll(known.filter("label = 1").orderBy(order, "doc_id").limit(per_class))
-    ids = [(r["doc_id"], r["label"]) for r in chosen.collect()]
+    ids = sorted((r["label"], r["at"], r["doc_id"]) for r in chosen.withColumn("at", order).collect())
     if not ids:
         return None
-    sample = spark.createDataFrame(ids, "doc_id long, label int")
+    sizes = docs.join(F.broadcast(spark.createDataFrame([(i,) for *_, i in ids], "doc_id long")), "doc_id").groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("n"))
+    sizes, taken, within = {r["doc_id"]: r["n"] or 0 for r in sizes.collect()}, [0, 0], []
+    for label, _, i in ids:
+        if i in sizes and taken[label] < SAMPLE_BYTES:
+            taken[label] += sizes[i]
+            within.append((i, label))
+    if {label for _, label in within} != {0, 1}:
+        return None
+    sample = spark.createDataFrame(within, "doc_id long, label int")
     bags = [(r["label"], unpack(r["bags"])) for r in _bags(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")).collect()]
     bags.sort(key=lambda r: (r[0], len(r[1][0]), r[1][0].tobytes(), r[1][1].tobytes()))
-    if {label for label, _ in bags} != {0, 1}:
-        return None
     spread = np.zeros(1 << BUCKET_BITS, dtype=np.int32)  # documents that have the n-gram
-    for _, (_, b, _) in bags:
+    for _, (b, _) in bags:
         spread[np.unique(b)] += 1
     learned = np.flatnonzero(spread >= min(LEAST_DOCS, len(bags)))
     place = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
     place[learned] = np.arange(len(learned), dtype=np.int32)
     marks = np.array([label for label, _ in bags])
-    sizes = np.array([int(n[0]) for _, (_, _, n) in bags])
-    first = np.r_[0, np.cumsum(sizes)]
+    sizes = np.array([len(n) for _, (_, n) in bags])
     y, doc = np.repeat(marks, sizes), np.repeat(np.arange(len(bags)), sizes)
-    n = np.zeros(len(y), dtype=np.int64)  # all n-grams of a window, learned or not
-    window, bucket = [], []
-    for k, (_, (w, b, _)) in enumerate(bags):
-        n[first[k] : first[k + 1]] = np.bincount(w, minlength=sizes[k])
-        kept = place[b] >= 0
-        w, b = w[kept], place[b[kept]]
-        order_ = np.argsort(w, kind="stable")
-        window.append(w[order_] + np.int32(first[k]))
-        bucket.append(b[order_])
+    n = np.concatenate([n for _, (_, n) in bags])
+    bucket, lens = [], []
+    for _, (b, each) in bags:
+        b = place[b]
+        lens.append(np.bincount(np.repeat(np.arange(len(each)), each)[b >= 0], minlength=len(each)))
+        bucket.append(b[b >= 0])
     del bags
-    window, bucket = np.concatenate(window), np.concatenate(bucket)
+    last = np.r_[doc[1:] != doc[:-1], True]  # a text's last half window is a window on its own
+    n = n + np.where(last, 0, np.r_[n[1:], 0])
+    windows = _Windows(np.concatenate(bucket), np.r_[0, np.cumsum(np.concatenate(lens))], np.arange(len(y)) + np.where(last, 1, 2), n)
+    del bucket
     fold = (np.arange(len(marks)) % 2)[doc]
 
     def weights(lit: np.ndarray) -> np.ndarray:
@@ -280,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
         """Margins of all windows, and the highest of each document, from the models that have not seen them."""
         margin = np.zeros(len(y))
         for f in (0, 1):
-            both = _fit_net(window, bucket, n, y, np.where(fold == f, weight, 0.0), seed).logits(window, bucket, n)
+            both = windows.logits(_fit_net(windows, y, np.where(fold == f, weight, 0.0), seed))
             margin = np.where(fold == f, margin, both[:, 1] - both[:, 0])
         best = np.full(len(marks), -np.inf)
         np.maximum.at(best, doc, margin)
@@ -292,7 +304,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7, per_class: int = SA
         clean = np.quantile(margin[y == 0], 0.99)
         lit = (y == 1) & ((margin > clean) | (margin >= best[doc]))
     margin, best = crossed(weights(lit))
-    net = _fit_net(window, bucket, n, y, weights(lit), seed)
+    net = _fit_net(windows, y, weights(lit), seed)
     # Toxic documents are rare in a corpus: clean ones weigh ten times as much in the calibration.
     slope, shift = _logistic(best, marks, np.where(marks == 1, 1.0, 10.0))
     table = np.zeros(1 << BUCKET_BITS, dtype=np.float32)

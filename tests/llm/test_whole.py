@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from ledgerstar.llm import secrets
+from ledgerstar.llm import secrets, toxicity
 
 
 def digits_are_secret():
@@ -59,3 +59,21 @@ def test_the_threshold_recalls_known_secrets(spark):
                 value = re.search(r"[A-Za-z0-9+/_.=-]+\Z", text[a:e])
                 codes.append(secrets.encode(text, a + value.start(), e))
     assert len(codes) > 100 and (model.probabilities(np.stack(codes)) >= model.threshold).mean() > 0.95
+
+
+def test_a_passage_between_clean_windows_is_learned(spark):
+    rng = np.random.default_rng(5)
+    plain = lambda n: " ".join(rng.choice(["river", "stone", "garden", "window", "letter", "market"], n))
+    rows = []
+    for k in range(80):
+        at = 16 * int(rng.choice([k for k in range(60) if k % 9 in (3, 4, 5)]))
+        text = plain(1200).split()
+        if k % 2:
+            text[at : at + 12] = ["zugwump", "blethering", "quonset"] * 4
+        rows.append((k, " ".join(text), k % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    bags = toxicity._bags(docs.withColumnRenamed("toxic", "label").limit(1)).first()["bags"]
+    assert len(toxicity.unpack(bags)[1]) == 75
+    model = toxicity.train(docs, docs.select("doc_id", "toxic"))
+    got = {r["doc_id"]: r["__score"] for r in toxicity.scored(docs, model).collect()}
+    assert min(got[k] for k in range(1, 80, 2)) > max(got[k] for k in range(0, 80, 2))
