@@ -8,8 +8,9 @@ differencing from doing harm or missing what a single page shows:
 
 * Elements that are no article by their own declaration (navigation, header,
   footer, sidebar, form, script, style, adverts, comments by class or id) go.
-* A neighbour that shares most of the remaining text is a copy of the page, not
-  a template sibling, and is passed over for the next one.
+* Pages of a host with the same blocks are one page here, and all get its result.
+  A neighbour is nearly a copy, not a template sibling, when one of the two has
+  almost no text that the other lacks; it is passed over for the next one.
 * Where a page marks its article (``article`` or ``main``), a block inside it
   goes only when all but one of its neighbours share it; elsewhere one is enough.
 """
@@ -32,6 +33,10 @@ from ledgerstar.llm.common import pack, sliced, store, unpack
 
 #: Neighbours on each side in URL order.
 REACH = 2
+#: Two pages are nearly copies when what one of them does not share is at most so many characters, and this share of it.
+OWN, OWN_SHARE = 40, 0.05
+#: Rows of a block key's copies are dealt over so many tasks.
+SALTS = 64
 #: Pages aligned together: a range of this many in URL order, with REACH more on each side.
 RANGE = 128
 
@@ -173,18 +178,23 @@ def shared_blocks(pages: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]], a
     host, hashes, sizes, flags = pages[at]
     kept = (flags & 1) == 0
     votes = np.zeros(len(hashes), dtype=int)
-    total = int(sizes[kept].sum())
+
+    def own(same: np.ndarray, sizes: np.ndarray, kept: np.ndarray) -> bool:
+        """Whether a page has text of its own."""
+        return int(sizes[~same & kept].sum()) > min(OWN, OWN_SHARE * int(sizes[kept].sum()))
+
     seen: set[bytes] = set()
     for step in (-1, 1):
         k, used = at + step, 0
         while 0 <= k < len(pages) and used < reach and abs(k - at) <= 2 * reach and pages[k][0] == host:
             other = pages[k]
-            rows = [i for i, _ in common_subsequence(hashes.tolist(), other[1].tolist())]
-            same = np.zeros(len(hashes), dtype=bool)
-            same[rows] = True
+            pairs = common_subsequence(hashes.tolist(), other[1].tolist())
+            same, there = np.zeros(len(hashes), dtype=bool), np.zeros(len(other[1]), dtype=bool)
+            same[[i for i, _ in pairs]] = True
+            there[[j for _, j in pairs]] = True
             k += step
-            if 2 * int(sizes[same & kept].sum()) > total or other[1].tobytes() in seen:
-                continue  # a copy of this page, or of a neighbour already compared
+            if not (own(same, sizes, kept) and own(there, other[2], (other[3] & 1) == 0)) or other[1].tobytes() in seen:
+                continue  # nearly a copy of this page, or of a neighbour already compared
             seen.add(other[1].tobytes())
             used += 1
             votes += same
@@ -210,7 +220,11 @@ def _deleted(pages: DataFrame, reach: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["host", "path", "url", "row", "lines"])
 
     lines = pages.mapInArrow(parse, "host string, path string, url string, row long, lines binary")
-    lines = lines.dropDuplicates(["host", "path", "url", "row"])
+    lines = store(lines.dropDuplicates(["host", "path", "url", "row"]).withColumn("same", F.xxhash64("host", "lines")), "pages-lines")
+    # One page for each host and blocks: copies would be each other's neighbours and show nothing.
+    members = lines.select("row", "same")
+    first = F.min(F.struct("path", "url", "row", "lines")).alias("f")
+    lines = lines.groupBy("host", "same").agg(first, F.count(F.lit(1)).alias("copies")).select("host", "f.*", "same", "copies")
     # Global rank in URL order: position in a range partition plus the sizes of the partitions before it.
     placed = lines.repartitionByRange("host", "path", "url", "row").sortWithinPartitions("host", "path", "url", "row")
     placed = store(placed.select("*", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("pos")), "pages-order")
@@ -223,16 +237,19 @@ def _deleted(pages: DataFrame, reach: int) -> DataFrame:
     edge = 2 * reach
     ranked = placed.join(F.broadcast(starts), "pid").withColumn("rank", F.col("start") + F.col("pos"))
     homes = F.array_distinct(F.array(*[F.floor((F.col("rank") + d) / RANGE).cast("long") for d in (-edge, 0, edge)]))
-    spread = ranked.select("host", "row", "lines", "rank", F.explode(homes).alias("home"))
+    spread = ranked.select("host", "row", "lines", "rank", "same", "copies", F.explode(homes).alias("home"))
 
     def align(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rank")
         group = [(h, *unpack(x)) for h, x in zip(frame["host"], frame["lines"], strict=True)]
         own = [k for k, r in enumerate(frame["rank"].tolist()) if r // RANGE == key[0]]
         gone = [pack(np.flatnonzero(shared_blocks(group, k, reach)).astype(np.int32)) for k in own]
-        return pd.DataFrame({"row": frame["row"].to_numpy()[own], "gone": gone})
+        return pd.DataFrame({**{c: frame[c].to_numpy()[own] for c in ("row", "same", "copies")}, "gone": gone})
 
-    return spread.groupBy("home").applyInPandas(align, "row long, gone binary").groupBy("row").agg(F.first("gone").alias("gone"))
+    gone = store(spread.groupBy("home").applyInPandas(align, "row long, same long, copies long, gone binary"), "pages-groups")
+    salted = gone.filter("copies > 1").select("same", "gone", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    copies = members.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(salted, ["same", "salt"]).select("row", "gone")
+    return gone.filter("copies = 1").select("row", "gone").unionAll(copies).groupBy("row").agg(F.first("gone").alias("gone"))
 
 
 def main_text(pages: DataFrame, reach: int = REACH) -> DataFrame:

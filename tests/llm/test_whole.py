@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from ledgerstar.llm import secrets, toxicity
+from ledgerstar.llm import pages, secrets, toxicity
 
 
 def digits_are_secret():
@@ -77,3 +77,13 @@ def test_a_passage_between_clean_windows_is_learned(spark):
     model = toxicity.train(docs, docs.select("doc_id", "toxic"))
     got = {r["doc_id"]: r["__score"] for r in toxicity.scored(docs, model).collect()}
     assert min(got[k] for k in range(1, 80, 2)) > max(got[k] for k in range(0, 80, 2))
+
+
+def test_copies_and_long_templates_do_not_stop_differencing(spark):
+    shared = "".join(f"<p>Line {k} of a template that no element declares" for k in range(30))
+    page = lambda k: f"<body>{shared}<div>A short article, number {k}, which has some words of its own</div>"
+    rows = [(k, f"http://h.com/{k:03d}", page(0 if 3 <= k < 40 else k)) for k in range(45)]
+    rows.append((99, "http://one.com/1", page(0)))
+    got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == 46 and got.pop(99).startswith("Line 0")
+    assert got == {k: f"A short article, number {0 if 3 <= k < 40 else k}, which has some words of its own" for k in got}
