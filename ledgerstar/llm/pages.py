@@ -41,18 +41,20 @@ SALTS = 64
 RANGE = 128
 
 #: Element names.
-RAW = frozenset("script style noscript template svg math iframe object textarea title head".split())
-DROPPED = frozenset("nav footer aside form button select dialog menu figure canvas audio video".split()) | RAW
+RAW = frozenset("script style noscript template svg iframe object textarea title head".split())
+DROPPED = frozenset("nav footer aside form button select dialog menu canvas audio video".split()) | RAW
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr"
+    " math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag of the first closes an open one of the second.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "option": {"option"}}
 BLOCK_ENDS_P = frozenset("div ul ol table section article main header footer nav aside form h1 h2 h3 h4 h5 h6 blockquote pre hr".split())
+#: A whole token of a class or an id.
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|share|sharing|social|sidebar"
-    r"|side-?bar|menu|nav\w*|breadcrumbs?|footer|header|masthead|comments?|replies|related|recommend\w*|login|signup|search)(?:$|[\s_-]|\d)",
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|share|sharing|social|sidebar"
+    r"|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|replies|related|recommend\w*|login|signup|search)[_-]?\d*",
     re.IGNORECASE,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
@@ -61,37 +63,43 @@ ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"
 BLANK = re.compile(r"\s+")
 
 
-def _declared(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element says by name or attributes that it is no part of the article."""
+def _declared(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element says that it is no part of the article: by its own name, role or style; by class or id."""
     if name in DROPPED or name == "header" and not inside:
-        return True
+        return True, False
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    named = False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id") and NAMED.search(value):
-            return True
+        if key in ("class", "id"):
+            named = named or any(NAMED.fullmatch(token) for token in value.split())
         if key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, False
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return False
+            return True, False
+    return False, named
 
 
 def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
-    """(text, dropped by declaration, inside article or main) of every block in page order; blank blocks are left out."""
-    out: list[tuple[str, bool, bool]] = []
+    """(text, dropped by declaration, inside article or main) of every block in page order; blank blocks are left out.
+
+    An element named by class or id is no declaration when it holds an article, main or most of the text that is left.
+    """
+    out: list[tuple[str, bool, bool, int]] = []
     if not page:
-        return out
-    stack: list[tuple[str, bool, bool]] = []  # element, dropped, inside
+        return []
+    stack: list[tuple[str, bool, bool, int]] = []  # element, dropped, inside, nearest named element around it
     parts: list[str] = []
     dropped = inside = False
+    # Of each named element the nearest one around it, and whether it holds an article; 0 stands for none.
+    around, outer, holds = 0, [0], [True]
 
     def flush() -> None:
         text = BLANK.sub(" ", html.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            out.append((text, dropped, inside))
+            out.append((text, dropped, inside, around))
 
     at, lower = 0, None
     while True:
@@ -106,19 +114,24 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
         if name in INLINE:
             if name == "br":
                 parts.append(" ")
-            if name != "br" and not m[1] and name not in VOID and m[3] and _declared(name, m[3], inside):
+            declared, named = _declared(name, m[3], inside) if name != "br" and not m[1] and name not in VOID and m[3] else (False, False)
+            if declared or named:
                 flush()
-                stack.append((name, dropped, inside))
-                dropped = True
+                stack.append((name, dropped, inside, around))
+                dropped = dropped or declared
+                if named:
+                    outer.append(around)
+                    holds.append(False)
+                    around = len(outer) - 1
             elif m[1] and stack and stack[-1][0] == name:
                 flush()
-                _, dropped, inside = stack.pop()
+                _, dropped, inside, around = stack.pop()
             continue
         flush()
         if m[1]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    _, dropped, inside = stack[k]
+                    _, dropped, inside, around = stack[k]
                     del stack[k:]
                     break
             continue
@@ -130,17 +143,34 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
                 continue
         closes = CLOSES.get(name, {"p"} if name in BLOCK_ENDS_P else ())
         while stack and stack[-1][0] in closes:
-            _, dropped, inside = stack.pop()
+            _, dropped, inside, around = stack.pop()
         if name in VOID or (m[3] or "").rstrip().endswith("/"):
             continue
         if name == "body":
             stack.clear()
-            dropped = inside = False
-        stack.append((name, dropped, inside))
-        dropped = dropped or _declared(name, m[3] or "", inside)
-        inside = inside or name in ("article", "main")
+            dropped, inside, around = False, False, 0
+        stack.append((name, dropped, inside, around))
+        declared, named = _declared(name, m[3] or "", inside)
+        dropped = dropped or declared
+        if named:
+            outer.append(around)
+            holds.append(False)
+            around = len(outer) - 1
+        if name in ("article", "main"):
+            inside = True
+            holds[around] = True
     flush()
-    return out
+    size = [0] * len(outer)
+    for text, gone, _, k in out:
+        if not gone:
+            size[k] += len(text)
+    for k in range(len(outer) - 1, 0, -1):
+        size[outer[k]] += size[k]
+        holds[outer[k]] = holds[outer[k]] or holds[k]
+    named_out = [False] * len(outer)
+    for k in range(1, len(outer)):
+        named_out[k] = named_out[outer[k]] or not holds[k] and 2 * size[k] <= size[0]
+    return [(text, gone or named_out[k], within) for text, gone, within, k in out]
 
 
 def split_url(url: str | None) -> tuple[str, str]:

@@ -87,3 +87,15 @@ def test_copies_and_long_templates_do_not_stop_differencing(spark):
     got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert len(got) == 46 and got.pop(99).startswith("Line 0")
     assert got == {k: f"A short article, number {0 if 3 <= k < 40 else k}, which has some words of its own" for k in got}
+
+
+def test_declarations_by_name_keep_the_article():
+    def kept(html):
+        return [t for t, dropped, _ in pages.blocks(f"<body><nav>Home</nav>{html}<div class='ad'>Buy</div><p>End of the page.</p></body>") if not dropped]
+
+    for name in ("content has-sidebar", "layout sidebar-right", "entry comments-open", "page sidebar"):
+        assert kept(f"<div class='{name}'><article><h1>Title</h1><p>Text.</p></article></div>") == ["Title", "Text.", "End of the page."]
+    assert kept("<div class='post-header'>The title</div>") == ["The title", "End of the page."]
+    assert kept(f"<div id='search'><p>{'Words of it. ' * 9}</p></div>") == [("Words of it. " * 9).strip(), "End of the page."]
+    assert kept("<div class='box sidebar'><p>Not this</div><span class='share'>Nor this</span><p>But this</p>") == ["But this", "End of the page."]
+    assert kept("<figure><pre>x = 1</pre><figcaption>A caption</figcaption></figure><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> here</p>") == ["x = 1", "A caption", "So a=2 here", "End of the page."]
