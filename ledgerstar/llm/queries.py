@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import decontaminate, language, mixing, pages, quality, secrets, simhash, suffixes, topk, toxicity
+from ledgerstar.llm import decontaminate, language, mixing, packing, pages, periodic, quality, secrets, simhash, suffixes, topk, toxicity
 from ledgerstar.llm.common import hash_fold
 
 #: Scores from which op7 and op10 predict 1.
@@ -89,9 +91,40 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= GOOD_FROM).cast("int").alias("predicted"))
 
 
+def with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document by crc32 of its id becomes periodic from some word on."""
+    h, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least 6 words and 4 periods in every document, and what is left of it without their repeats."""
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), min_length=6, min_exponent=4, rewrite=with_planted_period)
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = F.array_max(order)
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    lines = F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces of power-of-two length, each a sequence of its own."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, most=4096)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_suffix_tree, op3_secrets, op4_topk, op5_decontaminate, op6_main_text, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_quality)
+    for f in (op1_simhash, op2_suffix_tree, op3_secrets, op4_topk, op5_decontaminate, op6_main_text, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_quality, op11_periodic_runs, op13_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
