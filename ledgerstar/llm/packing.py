@@ -12,8 +12,11 @@ task and its place among the task's pieces of that bucket.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +35,18 @@ PLACE_BITS, TASK_BITS = 33, 23
 #: Fixed value: the splitting pattern under which words are tokenized one by one (white space is dropped, letters stand alone).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-#: Words and their letters that a task remembers; both are forgotten when there are more.
-REMEMBERED = 1 << 19
+#: Distinct words that a Python worker remembers; all are forgotten when there are more.
+REMEMBERED = 1 << 20
 
 GAP = re.compile(rb"[\x20\x09-\x0D]")
-LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+LETTERS = {"latin-1": re.compile(rb"[a-z\xdf-\xf6\xf8-\xff]+"), "utf-8": re.compile(rb"[A-Za-z]+")}
+
+#: Latin-1 in small letters.
+SMALL = bytes(b + 32 if 65 <= b <= 90 or 0xC0 <= b <= 0xDE and b != 0xD7 else b for b in range(256))
+
+#: Latin-1 by what a splitting pattern can join: blanks and plain letters or digits never, the rest (signs) only with other signs.
+SIGNS = bytes(32 if b == 32 or 9 <= b <= 13 else 97 if chr(b).isalnum() and (b < 128 or b >= 0xC0) else 46 for b in range(256))
+STOPS = b".,;:!?"
 
 
 def piece_lengths(n: int, most: int) -> list[int]:
@@ -49,8 +59,9 @@ class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
     With a tokenizer that handles each word by itself, every distinct word is tokenized once; words of letters only
-    go to the tokenizer together, and each ends with a token that carries the end-of-word mark. Other tokenizers and
-    chunks that hold one of the tokenizer's special tokens get the text as it is.
+    go to the tokenizer together, and each ends with a token that carries the end-of-word mark. In Latin-1 texts
+    where no two signs meet, punctuation is taken off the words first and capitals are made small, so fewer words
+    differ. Other tokenizers and chunks that hold one of the tokenizer's special tokens get the text as it is.
     """
 
     def __init__(self, path: str):
@@ -67,67 +78,79 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         if self.by_word:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.latin: dict[bytes, bytes] = {}  # by the word in Latin-1
+        self.other: dict[bytes, bytes] = {}  # by the word in UTF-8
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn_letters(self, fresh: list[str]) -> None:
-        for lo in range(0, len(fresh), 1024):
-            part = fresh[lo : lo + 1024]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) != len(part):
-                raise ValueError("words and their end marks differ in number")
-            raw, before = ids.tobytes(), 0
-            for word, cut in zip(part, cuts, strict=True):
-                self.letters[word] = raw[4 * before : 4 * cut]
-                before = cut
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        if len(self.letters) > REMEMBERED:
-            self.letters.clear()
-        split = {}
-        for word in words - self.words.keys():
-            core = word.rstrip(b".,;:!?")
-            key = core.decode().lower()
-            split[word] = (key, word[len(core) :].decode()) if LETTERS.fullmatch(key) else None
-        self.learn_letters(list({s[0] for s in split.values() if s} - self.letters.keys()))
-        tails = {t: self.plain(t) if t else b"" for t in {s[1] for s in split.values() if s}}
-        for word, s in split.items():
-            self.words[word] = self.letters[s[0]] + tails[s[1]] if s else self.plain(word.decode())
+    def learn(self, known: dict[bytes, bytes], words: set[bytes], encoding: str) -> None:
+        if len(known) + len(words) > REMEMBERED:
+            known.clear()
+        fresh = list(words - known.keys())
+        alone = LETTERS[encoding].fullmatch
+        letters = [w for w in fresh if alone(w)]
+        for lo in range(0, len(letters), 4096):
+            part = letters[lo : lo + 4096]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(encoding), add_special_tokens=False).ids, dtype="<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            known.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+        rest = [w for w in fresh if w not in known]
+        for lo in range(0, len(rest), 4096):
+            part = rest[lo : lo + 4096]
+            found = self.tokenizer.encode_batch_fast([w.decode(encoding) for w in part], add_special_tokens=False)
+            known.update(zip(part, [np.array(e.ids, dtype="<u4").tobytes() for e in found], strict=True))
+
+    def split(self, text: bytes) -> tuple[bytes, list[bytes]]:
+        """How a chunk is tokenized ("latin-1" or "utf-8" words, "" for as it is), and its words."""
+        try:
+            latin = text if text.isascii() else text.decode().encode("latin-1")
+        except UnicodeEncodeError:
+            latin = None
+        if latin is not None and b".." not in latin.translate(SIGNS) and b"'" not in latin:
+            small = latin.translate(SMALL)
+            for sign in STOPS:
+                small = small.replace(b"%c" % sign, b" %c " % sign)
+            return "latin-1", small.split()
+        return ("", []) if any(s in text for s in self.special) else ("utf-8", text.split())
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text. Words of several short texts are learned together; a long text goes chunk by chunk."""
         if not self.by_word:
             yield from (self.plain(t.decode()) for t in texts)
             return
-        short = [t.split() if len(t) <= CHUNK_BYTES and not self.marked(t) else None for t in texts]
-        self.learn({w for words in short if words for w in words})
-        known = self.words
-        done = [b"".join([known[w] for w in words]) if words is not None else None for words in short]
-        for text, ids in zip(texts, done, strict=True):
-            yield ids if ids is not None else b"".join(self.chunks(text))
-
-    def marked(self, text: bytes) -> bool:
-        return any(s in text for s in self.special)
-
-    def chunks(self, text: bytes) -> Iterator[bytes]:
-        at = 0
-        while at < len(text):
-            gap = GAP.search(text, at + CHUNK_BYTES)
-            end = gap.start() if gap else len(text)
-            chunk = text[at:end]
-            if self.marked(chunk):
-                yield self.plain(chunk.decode())
+        for long, group in itertools.groupby(texts, lambda t: len(t) > CHUNK_BYTES):
+            if long:
+                yield from (b"".join(part for chunk in chunks(t) for part in self.words([chunk])) for t in group)
             else:
-                words = chunk.split()
-                self.learn(set(words))
-                yield b"".join([self.words[w] for w in words])
-            at = end
+                yield from self.words(list(group))
+
+    def words(self, texts: list[bytes]) -> Iterator[bytes]:
+        split = [self.split(t) for t in texts]
+        tables = {"latin-1": self.latin, "utf-8": self.other}
+        for kind, known in tables.items():
+            self.learn(known, set().union(*(words for k, words in split if k == kind)), kind)
+        for text, (kind, words) in zip(texts, split, strict=True):
+            yield b"".join(map(tables[kind].__getitem__, words)) if kind else self.plain(text.decode())
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: words learned in one task serve the worker's later tasks."""
+    held = sys.modules.setdefault("_ledgerstar_encoders", types.ModuleType("_ledgerstar_encoders")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
+def chunks(text: bytes) -> Iterator[bytes]:
+    """A long text, cut at white space into chunks that are tokenized apart (long ones where there is none)."""
+    at = 0
+    while at < len(text):
+        gap = GAP.search(text, at + CHUNK_BYTES // 2)
+        end = gap.start() if gap else len(text)
+        yield text[at:end]
+        at = end
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, most: int = 4096) -> DataFrame:
@@ -144,7 +167,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, most: int = 4096) ->
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, task = worker_encoder(tokenizer), TaskContext.get().partitionId()
         if task >> TASK_BITS:
             raise ValueError("too many tasks to number their sequences")
         placed = [0] * most.bit_length()
