@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
@@ -21,6 +22,8 @@ CHUNK_BYTES = 4 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+GAP = re.compile(rb"[\x20\x09-\x0D]")
+
 #: A-Z to a-z, every other byte unchanged.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -75,6 +78,16 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             lo = hi
 
 
+def text_chunks(text: bytes, limit: int = CHUNK_BYTES) -> Iterator[bytes]:
+    """A text cut at white space into chunks of about ``limit`` bytes (longer ones where there is none)."""
+    at = 0
+    while at < len(text):
+        gap = GAP.search(text, at + limit) if len(text) - at > limit else None
+        end = gap.start() if gap else len(text)
+        yield text[at:end]
+        at = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: spreads every input bit over the whole word."""
     x = x ^ (x >> np.uint64(32))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.llm.common import CHUNK_BYTES, binary_column, sliced
+from ledgerstar.llm.common import CHUNK_BYTES, binary_column, sliced, text_chunks
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -38,7 +38,6 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Distinct words that a Python worker remembers; all are forgotten when there are more.
 REMEMBERED = 1 << 20
 
-GAP = re.compile(rb"[\x20\x09-\x0D]")
 LETTERS = {"latin-1": re.compile(rb"[a-z\xdf-\xf6\xf8-\xff]+"), "utf-8": re.compile(rb"[A-Za-z]+")}
 
 #: Latin-1 in small letters.
@@ -122,7 +121,7 @@ class Encoder:
             return
         for long, group in itertools.groupby(texts, lambda t: len(t) > CHUNK_BYTES):
             if long:
-                yield from (b"".join(part for chunk in chunks(t) for part in self.words([chunk])) for t in group)
+                yield from (b"".join(part for chunk in text_chunks(t, CHUNK_BYTES) for part in self.words([chunk])) for t in group)
             else:
                 yield from self.words(list(group))
 
@@ -143,16 +142,6 @@ def worker_encoder(path: str) -> Encoder:
     return held[path]
 
 
-def chunks(text: bytes) -> Iterator[bytes]:
-    """A long text, cut at white space into chunks that are tokenized apart (long ones where there is none)."""
-    at = 0
-    while at < len(text):
-        gap = GAP.search(text, at + CHUNK_BYTES // 2)
-        end = gap.start() if gap else len(text)
-        yield text[at:end]
-        at = end
-
-
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, most: int = 4096) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset): the pieces of every row of ``docs`` (doc_id, text).
 

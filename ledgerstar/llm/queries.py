@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstar.llm import decontaminate, language, mixing, packing, pages, periodic, quality, secrets, simhash, suffixes, topk, toxicity
+from ledgerstar.llm import decontaminate, language, lexical, mixing, packing, pages, periodic, quality, secrets, simhash, suffixes, topk, toxicity
 from ledgerstar.llm.common import hash_fold
 
 #: Scores from which op7 and op10 predict 1.
@@ -116,6 +116,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces of power-of-two length, each a sequence of its own."""
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, most=4096)
@@ -124,7 +129,7 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_suffix_tree, op3_secrets, op4_topk, op5_decontaminate, op6_main_text, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_quality, op11_periodic_runs, op13_packing)
+    for f in (op1_simhash, op2_suffix_tree, op3_secrets, op4_topk, op5_decontaminate, op6_main_text, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_quality, op11_periodic_runs, op12_lexical_search, op13_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -182,5 +187,24 @@ WITH d AS (
   FROM d LEFT JOIN gaps USING (doc_id) GROUP BY d.doc_id
 )
 SELECT doc_id, n AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(rest)) AS kept_sha256 FROM kept
+""",
+    "op12_lexical_search": r"""
+WITH dt AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), it AS (
+  SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark
+), total AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM dt WHERE len(w) > 0
+), postings AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM dt) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM postings, total GROUP BY term, n_docs
+), asked AS (SELECT i, term, count(*) AS times FROM (SELECT i, unnest(w) AS term FROM it) GROUP BY ALL
+), lengths AS (SELECT d, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms AS m FROM dt, total WHERE len(w) > 0
+), scored AS (
+  SELECT i, d, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (d) GROUP BY ALL
+), placed AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS r FROM scored JOIN lengths USING (d) WHERE score > 0
+)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM placed JOIN it USING (i) WHERE r <= 10
 """,
 }
