@@ -249,6 +249,45 @@ WHERE NOT (""" + " OR ".join(f"p_{c}" for c, _ in _PARSED) + """
            OR v_amount OR v_cents OR v_currency OR v_gmt OR v_cet)"""
 
 
+# Bronze in other numeric types. t_*: the value as the expected type holds it; p_*: it is not the value that came in.
+_TYPED = """
+, typed AS (
+  SELECT *, 'float' AS kind, CAST(CAST(bookg_amt AS FLOAT) AS DOUBLE) AS t_amount, FALSE AS p_amount,
+         bookg_amt_nmrc AS t_cents, dtld_tx_tp = 5411 AS p_cents
+  FROM bronze
+  UNION ALL
+  SELECT *, 'decimal', bookg_amt, dtld_tx_tp = 9999, bookg_amt_nmrc, FALSE FROM bronze
+  UNION ALL
+  SELECT * EXCLUDE (big), 'bigint', CAST(big AS DOUBLE), CAST(CAST(big AS DOUBLE) AS HUGEINT) <> big, bookg_amt_nmrc, FALSE
+  FROM (SELECT *, CASE WHEN dtld_tx_tp = 9999 THEN 9007199254740992 + 2 * booking_id + 1
+                       WHEN dtld_tx_tp = 5411 THEN 9007199254740992 + 4 * booking_id ELSE bookg_amt_nmrc END AS big
+        FROM bronze) x
+)
+"""
+_TYPED += """
+, tflags AS (
+  SELECT * EXCLUDE (bookg_amt, bookg_amt_nmrc), t_amount AS bookg_amt, t_cents AS bookg_amt_nmrc,
+    COALESCE(t_amount < 0, FALSE) AS v_amount, COALESCE(t_cents < 0, FALSE) AS v_cents,
+    COALESCE(acct_ccy NOT IN (""" + _VALID + """), FALSE) AS v_currency,
+    bookg_dt_tm_gmt IS NULL AS v_gmt, bookg_dt_tm_cet IS NULL AS v_cet
+  FROM typed)
+"""
+_TYPED_REPORT = " UNION ALL ".join(
+    f"SELECT *, '{kind}' AS kind FROM ({rule}) r"
+    for kind, casts in (("float", ("amount", "cents")), ("decimal", ("amount",)), ("bigint", ("amount",)))
+    for rule in [_rule_report(f"{c}_parses", c, f"p_{n}", f"{c} IS NULL", f"tflags WHERE kind = '{kind}'")
+                 for n, c in (("amount", "bookg_amt"), ("cents", "bookg_amt_nmrc")) if n in casts]
+    + [_rule_report(*args, source=f"tflags WHERE kind = '{kind}'") for args in (
+        ("amount_not_negative", "bookg_amt", "v_amount", "bookg_amt IS NULL"),
+        ("amount_cents_not_negative", "bookg_amt_nmrc", "v_cents", "bookg_amt_nmrc IS NULL"),
+        ("currency_known", "acct_ccy", "v_currency", "acct_ccy IS NULL"),
+        ("booked_gmt_present", "bookg_dt_tm_gmt", "v_gmt", "FALSE"),
+        ("booked_cet_present", "bookg_dt_tm_cet", "v_cet", "FALSE"))])
+_TYPED_CLEAN = """
+SELECT booking_id, bookg_amt, bookg_amt_nmrc, kind FROM tflags
+WHERE NOT (p_amount OR p_cents OR v_amount OR v_cents OR v_currency OR v_gmt OR v_cet)"""
+
+
 def _fact_keys() -> str:
     return "SELECT amount_euro, currency_id, date_id, category_id, counterparty_id FROM g_fact"
 
@@ -348,6 +387,8 @@ ORACLE_SQL.update({
     "star_emission_by_category_country": _with_ctes(_STAR_CTES, _STAR_SELECT),
     "text_bronze_report": _with_ctes(_TEXT, _TEXT_REPORT),
     "text_bronze_clean": _with_ctes(_TEXT, _TEXT_CLEAN),
+    "typed_bronze_report": _with_ctes(_TYPED, _TYPED_REPORT),
+    "typed_bronze_clean": _with_ctes(_TYPED, _TYPED_CLEAN),
     "fact_lookup": _q("SELECT * FROM g_fact"),
     "fact_lookup_using_names": _q(_fact_keys()),
     "fact_append_twice": _q("SELECT * FROM g_fact UNION ALL SELECT * FROM g_fact"),

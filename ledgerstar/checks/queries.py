@@ -384,6 +384,46 @@ def text_bronze_clean(spark, sf):
     return bronze_to_silver(text_bronze(spark, sf), f"{wh.root}/silver/staging_parquet")
 
 
+def typed_bronze(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Bronze whose amounts come in another numeric type, with values planted that the expected type cannot hold.
+
+    float: amounts as FLOAT (all of them fit a DOUBLE), cents as DOUBLE with half a cent in grocery rows.
+    decimal: amounts as DECIMAL(38,18) with a digit in the last place where the category is unknown.
+    bigint: amounts as BIGINT around 2^53: odd ones above it in unknown categories, multiples of 4 in groceries.
+    """
+    b = bronze(spark, sf)
+    unknown, grocery = F.col("dtld_tx_tp") == 9999, F.col("dtld_tx_tp") == 5411
+    amount, cents = F.col("bookg_amt"), F.col("bookg_amt_nmrc")
+    above = F.lit(2**53)
+    changes = {
+        "float": {"bookg_amt": amount.cast("float"),
+                  "bookg_amt_nmrc": F.when(grocery, cents.cast("double") + 0.5).otherwise(cents.cast("double"))},
+        "decimal": {"bookg_amt": F.when(unknown, amount.cast("decimal(30,18)") + F.lit("0.000000000000000001").cast("decimal(30,18)"))
+                                  .otherwise(amount.cast("decimal(38,18)")).cast("decimal(38,18)")},
+        "bigint": {"bookg_amt": F.when(unknown, above + 2 * F.col("booking_id") + 1)
+                                 .when(grocery, above + 4 * F.col("booking_id")).otherwise(cents)},
+    }
+    return b.withColumns(changes[kind])
+
+
+def _each_typed(one: Callable[[DataFrame, str], DataFrame], spark: SparkSession, sf: str) -> DataFrame:
+    frames = [one(typed_bronze(spark, sf, k), k).withColumn("kind", F.lit(k)) for k in ("float", "decimal", "bigint")]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def typed_bronze_report(spark, sf):
+    """FLOAT, DECIMAL and BIGINT amounts validated; only values that the cast changes are findings."""
+    return _each_typed(lambda b, _: validate(b).report, spark, sf)
+
+
+def typed_bronze_clean(spark, sf):
+    """Silver of the same inputs; only changed values stay out."""
+    from ledgerstar.plans.medallion import bronze_to_silver
+
+    wh = Warehouse.fresh(spark, "typed-bronze")
+    return _each_typed(lambda b, k: bronze_to_silver(b, f"{wh.root}/silver/{k}").select("booking_id", "bookg_amt", "bookg_amt_nmrc"), spark, sf)
+
+
 def silver_from_report(spark, sf):
     """Silver as a stored report decides; this input fails, so its rows are cleaned."""
     from ledgerstar.plans.medallion import bronze_to_silver
@@ -549,6 +589,8 @@ QUERIES: dict[str, Query] = {
     "check_in_set_category": _single_rule(Q.CATEGORY_KNOWN),
     "text_bronze_report": text_bronze_report,
     "text_bronze_clean": text_bronze_clean,
+    "typed_bronze_report": typed_bronze_report,
+    "typed_bronze_clean": typed_bronze_clean,
     "suite_report": suite_report,
     "suite_success": suite_success,
     "clean_rows": clean_rows,

@@ -88,19 +88,64 @@ class NotNull(Rule):
         return _false()
 
 
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+_WIDER = {t: set(_INTEGERS[i + 1:]) for i, t in enumerate(_INTEGERS)}
+for _t in ("tinyint", "smallint"):
+    _WIDER[_t] |= {"float", "double"}
+_WIDER["int"] |= {"double"}
+_WIDER["float"] = {"double"}
+_PLAIN = {*_INTEGERS, "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
+
+
+def _is_decimal(type_name: str) -> bool:
+    return type_name.startswith("decimal")
+
+
+def _finer_decimal(type_name: str) -> str:
+    """A decimal type with room for the whole digits of ``type_name`` and as many places as are left."""
+    if not _is_decimal(type_name):
+        return "decimal(38,18)"
+    digits, places = (int(x) for x in type_name[8:-1].split(","))
+    return f"decimal(38,{38 - (digits - places)})"
+
+
 @dataclass(frozen=True)
 class Castable(Rule):
-    """A raw value is present but does not cast to ``type_name``, or the cast changes its number (a fraction cut off)."""
+    """A raw value is present but does not cast to ``type_name``, or the cast changes it.
+
+    The comparison is made in the type that the value comes in: cast there and
+    back, it has to be the same value. So a widening cast never fails, a
+    DECIMAL fails where a DOUBLE cannot hold its digits, a BIGINT above 2^53
+    fails where the DOUBLE next to it is another number, and a fraction that
+    an integer type cuts off fails. Text has no such type: it has to parse,
+    and for an integer or decimal target, read with all its places, to be the
+    number that the cast gives. Rendering as text changes nothing.
+    """
 
     type_name: str = "string"
+    source_type: str = "string"
 
     def violation(self) -> Column:
         c = F.col(self.column)
-        broken = c.isNotNull() & c.try_cast(self.type_name).isNull()
-        if self.type_name in ("tinyint", "smallint", "int", "bigint", "float", "double") or self.type_name.startswith("decimal"):
-            as_number = c.try_cast("string").try_cast("double")
-            broken = broken | (c.isNotNull() & (as_number != c.try_cast(self.type_name).cast("double")))
-        return F.coalesce(broken, _false())
+        unreadable = c.isNotNull() & c.try_cast(self.type_name).isNull()
+        changed = self._changed(c)
+        return F.coalesce(unreadable if changed is None else unreadable | (c.isNotNull() & changed), _false())
+
+    def _changed(self, c: Column) -> Column | None:
+        source, target = self.source_type, self.type_name
+        if target == source or target == "string" or target in _WIDER.get(source, ()):
+            return None
+        given = c.try_cast(target)
+        if source == "string":
+            if target not in _INTEGERS and not _is_decimal(target):
+                return None
+            finer = _finer_decimal(target)
+            return ~c.try_cast(finer).eqNullSafe(given.cast(finer))
+        if (source in _PLAIN or _is_decimal(source)) and (target in _PLAIN or _is_decimal(target)):
+            back = ~given.try_cast(source).eqNullSafe(c)
+            # The floating value 2^63 casts back to the largest BIGINT, which is not 2^63.
+            return back | (given >= F.lit(2.0**63)) if source == "bigint" and target in ("float", "double") else back
+        return None
 
     @property
     def reported_column(self) -> str:
@@ -128,8 +173,8 @@ def conform_with_checks(df: DataFrame, types: Mapping[str, T.DataType]) -> tuple
 
     Columns whose type differs keep their raw value in ``_raw_<name>`` and are
     replaced by ``try_cast``; the returned rules flag rows whose raw value is
-    present but does not cast, so they are quarantined instead of failing the
-    job (ANSI) or silently turning into NULLs. Already-typed input gives no
+    present but does not cast or would change, so they are quarantined instead
+    of failing the job (ANSI) or silently turning into NULLs. Already-typed input gives no
     rules and an unchanged frame.
     """
     current = dict(df.dtypes)
@@ -138,7 +183,7 @@ def conform_with_checks(df: DataFrame, types: Mapping[str, T.DataType]) -> tuple
         return df, []
     out = df.withColumns({f"{RAW_PREFIX}{n}": F.col(n) for n in mismatched})
     out = out.withColumns({n: F.col(f"{RAW_PREFIX}{n}").try_cast(types[n]) for n in mismatched})
-    rules = [Castable(f"{n}_parses", f"{RAW_PREFIX}{n}", types[n].simpleString()) for n in mismatched]
+    rules = [Castable(f"{n}_parses", f"{RAW_PREFIX}{n}", types[n].simpleString(), current[n]) for n in mismatched]
     return out, rules
 
 
