@@ -395,6 +395,10 @@ ORACLE_SQL.update({
     "counterparty_lookup_salted": _q("""
 SELECT s.counterparty_add, s.amount_euro, g.counterparty_id
 FROM sta s LEFT JOIN g_counterparty g ON s.counterparty_add = g.counterparty_add"""),
+    "counterparty_lookup_skewed": _q("""
+SELECT s.counterparty_add, s.amount_euro, g.counterparty_id
+FROM (SELECT amount_euro, CASE WHEN day(payment_date) % 3 = 0 THEN 'ADDR 2' ELSE counterparty_add END AS counterparty_add
+      FROM sta) s LEFT JOIN g_counterparty g ON s.counterparty_add = g.counterparty_add"""),
     "gold_audit": _q("""
 SELECT 'calendar_dim' AS table_name, count(*) AS row_count FROM g_calendar
 UNION ALL SELECT 'currency_dim', count(*) FROM g_currency

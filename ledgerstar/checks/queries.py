@@ -544,6 +544,19 @@ def counterparty_lookup_salted(spark, sf):
                        "counterparty_add", "left", max_broadcast_rows=0, salt_buckets=8)
 
 
+def counterparty_lookup_skewed(spark, sf):
+    """A third of the facts at one address and NULL addresses; heavy keys are measured and only they are salted."""
+    wh = Warehouse.fresh(spark, "skewed")
+    cp = dedupe_by_key(staging.counterparty_source(staged(spark, sf)), ["counterparty_add"])
+    db = wh.ensure_database("gold")
+    overwrite_table(dense_ids(cp, ["counterparty_add"], "counterparty_id"), f"{db}.cp", wh.location("gold", "cp"))
+    hot = F.when(F.pmod(F.dayofmonth("payment_date"), F.lit(3)) == 0, F.lit("ADDR 2")).otherwise(F.col("counterparty_add"))
+    facts = staged(spark, sf).select("amount_euro", hot.alias("counterparty_add"))
+    overwrite_table(facts, f"{db}.facts", wh.location("gold", "facts"))
+    return lookup_join(spark.table(f"{db}.facts"), spark.table(f"{db}.cp").select("counterparty_add", "counterparty_id"),
+                       "counterparty_add", "left", max_broadcast_rows=0)
+
+
 QUERIES: dict[str, Query] = {
     "silver_from_report": silver_from_report,
     "silver_passing_unchanged": silver_passing_unchanged,
@@ -579,6 +592,7 @@ QUERIES: dict[str, Query] = {
     "fact_lookup_using_names": fact_lookup_using_names,
     "fact_append_twice": fact_append_twice,
     "counterparty_lookup_salted": counterparty_lookup_salted,
+    "counterparty_lookup_skewed": counterparty_lookup_skewed,
     "gold_audit": gold_audit,
     "star_emission_by_category_country": star_emission_by_category_country,
     "check_between_amount": _single_rule(Q.AMOUNT_NOT_NEGATIVE),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstar import schemas
-from ledgerstar.operators.joins import fits_broadcast, lookup_join
+from ledgerstar.operators.joins import fits_broadcast, lookup_join, row_spread
 from ledgerstar.operators.merge import build_dim
 from ledgerstar.session import run_concurrently
 from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent
@@ -63,11 +63,16 @@ def resolve_fact_keys(transactions: DataFrame, dims: dict[str, DataFrame]) -> Da
     A transaction whose business key has no dimension member (or is NULL)
     keeps a NULL id. Dimensions are unique per key, so no row fans out.
     """
-    fact = transactions.select("amount_euro", *[d.key for d in DIMENSIONS])
     lookups = {d.table: dims[d.table].select(d.key, d.id_col) for d in DIMENSIONS}
     small = run_concurrently({t: (lambda df=df: fits_broadcast(df)) for t, df in lookups.items()})
-    for d in DIMENSIONS:
-        fact = lookup_join(fact, lookups[d.table], d.key, "left", small=small[d.table])
+    fact = transactions
+    if not all(small.values()):  # rows are told apart while they still are those of the stored table
+        fact = fact.withColumn("_ls_row", row_spread(fact))
+    fact = fact.select("amount_euro", *[d.key for d in DIMENSIONS], *[c for c in fact.columns if c == "_ls_row"])
+    # Broadcast lookups first: what a shuffle join reads twice is then only a scan.
+    for d in sorted(DIMENSIONS, key=lambda d: not small[d.table]):
+        spread = None if small[d.table] else F.col("_ls_row")
+        fact = lookup_join(fact, lookups[d.table], d.key, "left", small=small[d.table], spread=spread)
     return fact.select("amount_euro", "currency_id", "date_id", "category_id", "counterparty_id")
 
 
