@@ -427,6 +427,9 @@ SELECT l_orderkey, l_linenumber,
        CAST(round(CAST(CAST(l_quantity * 1e5 * 4e-7 AS VARCHAR) AS DECIMAL(38,15)), 3) AS DOUBLE) AS small_rate,
        CAST(format('{:.11e}', sum(l_quantity * 0.0004) OVER (PARTITION BY l_returnflag)) AS DOUBLE) AS fine_sum
 FROM lineitem""",
+    "exact_sum_cancelling": """
+SELECT l_returnflag, CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / 8 AS total, CAST(3 * count(*) AS BIGINT) AS n_values
+FROM lineitem GROUP BY l_returnflag""",
     "quarantine_rows": _q(f"""
 SELECT booking_id, acct_ccy, bookg_amt, bookg_amt_nmrc, bookg_dt_tm_cet, bookg_dt_tm_gmt, dtld_tx_tp,
        ctpty_nm, ctpty_ctry, ctpty_adr_line1, {_FAILED} AS failed_rules

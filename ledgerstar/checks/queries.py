@@ -450,10 +450,11 @@ def silver_passing_unchanged(spark, sf):
 
 def money_extremes(spark, sf):
     """rates below 1e-6, amounts above 1e14 and sums of values finer than the rounding places."""
-    from ledgerstar.functions.money import rounded_product, steady_sum
+    from ledgerstar.functions.exact import exact_sums
+    from ledgerstar.functions.money import rounded_product, shown
 
     rows = spark.read.parquet(f"{sf}/lineitem.parquet")
-    sums = rows.groupBy("l_returnflag").agg(steady_sum(F.col("l_quantity") * 0.0004).alias("fine_sum"))
+    sums = exact_sums(rows, ["l_returnflag"], {"fine": F.col("l_quantity") * 0.0004}).select("l_returnflag", shown("fine").alias("fine_sum"))
     return rows.join(sums, "l_returnflag").select(
         "l_orderkey", "l_linenumber",
         rounded_product(F.col("l_extendedprice") * 1e10, F.col("l_linenumber") * 3.7e-8, 3).alias("large_times_small"),
@@ -462,6 +463,17 @@ def money_extremes(spark, sf):
     )
 
 
+def exact_sum_cancelling(spark, sf):
+    """A5: amounts of up to 1e17 that cancel out, among eighths: the sum is exact whatever the order of rows."""
+    from ledgerstar.functions.exact import exact_sums
+
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_returnflag", "l_orderkey", "l_quantity")
+    big = F.col("l_orderkey") * 1e12 + 1e16
+    values = F.array(F.col("l_quantity") / 8, big, -big)
+    added = exact_sums(rows.select("l_returnflag", F.explode(values).alias("value")), ["l_returnflag"], {"total": "value"})
+    return added.select("l_returnflag", "total", F.col("total__n").alias("n_values"))
+
+
 def suite_report(spark, sf):
     return Q.evaluate_suite(bronze(spark, sf), Q.DEFAULT_SUITE)
 
@@ -561,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "silver_from_report": silver_from_report,
     "silver_passing_unchanged": silver_passing_unchanged,
     "money_extremes": money_extremes,
+    "exact_sum_cancelling": exact_sum_cancelling,
     "scan_parquet": scan_parquet,
     "scan_parquet_glob": scan_parquet_glob,
     "scan_csv_roundtrip": scan_csv_roundtrip,

@@ -2,9 +2,7 @@
 
 A rounded product is ``round(amount * factor, n)`` of the two doubles, half-up
 on the product's shortest decimal form: no amount or factor is narrowed first.
-Sums add doubles in whatever order rows arrive; the result is rounded to twelve
-significant digits, which takes away what the order changed and keeps small and
-large totals alike.
+Sums are exact (``functions.exact``) and shown to twelve significant digits.
 """
 
 from __future__ import annotations
@@ -22,18 +20,13 @@ def rounded_product(amount: Column | str, factor: Column | str, scale: int) -> C
     return F.round(_col(amount) * _col(factor), scale)
 
 
-def _steady(value: Column) -> Column:
-    """Twelve significant digits of a DOUBLE."""
-    return F.format_string("%.11e", value).cast("double")
+def shown(value: Column | str) -> Column:
+    """Twelve significant digits of a DOUBLE, rounded from its exact binary value (ties to even); NULL stays NULL."""
+    value = _col(value)
+    digits = F.call_function("format_number", value, F.lit("0.00000000000E0")).cast("double")
+    return F.when(F.abs(value) < float("inf"), digits).otherwise(value)
 
 
-def steady_sum(value: Column | str) -> Column:
-    """Sum to twelve significant digits; NULL without values."""
-    total = F.sum(_col(value))
-    return F.when(total.isNotNull(), _steady(total))
-
-
-def steady_mean(value: Column | str) -> Column:
-    """Mean to twelve significant digits; NULLs are skipped."""
-    mean = F.sum(_col(value)) / F.count(_col(value))
-    return F.when(F.count(_col(value)) > 0, _steady(mean))
+def shown_mean(total: Column | str, count: Column | str) -> Column:
+    """Mean from an exact total, to twelve significant digits; NULL without values."""
+    return shown(F.when(_col(count) > 0, _col(total) / _col(count)))

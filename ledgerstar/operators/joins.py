@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,11 +41,17 @@ def row_spread(df: DataFrame) -> Column:
     Otherwise it is a hash of the whole row: exact copies share it. A position counted at run time would not do:
     a task that is recomputed after a lost executor may get its input in another order.
     """
-    try:
-        df.select("_metadata.file_path", "_metadata.row_index")
-    except AnalysisException:
-        return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    if _reads_files(df):
+        return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _reads_files(df: DataFrame) -> bool:
+    """Whether ``df`` is one stored table, with nothing above it but projections and filters."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.child()
+    return node.getClass().getSimpleName() == "LogicalRelation"
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key_cols: Sequence[str], how: str, buckets: int) -> DataFrame:

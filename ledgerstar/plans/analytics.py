@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstar.constants import EXCLUDED_CATEGORY_NAME
-from ledgerstar.functions.money import steady_mean, steady_sum, rounded_product
+from ledgerstar.functions.exact import exact_sums
+from ledgerstar.functions.money import rounded_product, shown, shown_mean
 from ledgerstar.operators.joins import lookup_join
 
 EURO = "EUR"
@@ -65,11 +66,12 @@ def emission_report(transactions: DataFrame, categories: DataFrame, country: str
 
 
 def mean_emission_by_category(report: DataFrame) -> DataFrame:
-    """Mean emission (and count, total) per category name."""
-    return report.groupBy("category_name").agg(
-        steady_mean("co2_emission_g").alias("mean_co2_emission_g"),
-        steady_sum("co2_emission_g").alias("total_co2_emission_g"),
-        F.count("co2_emission_g").alias("transactions"),
+    """Mean emission (and count, total) per category name, from exact sums."""
+    return exact_sums(report, ["category_name"], {"total": "co2_emission_g"}).select(
+        "category_name",
+        shown_mean("total", "total__n").alias("mean_co2_emission_g"),
+        shown("total").alias("total_co2_emission_g"),
+        F.col("total__n").alias("transactions"),
     )
 
 
@@ -96,9 +98,11 @@ def star_emissions(fact: DataFrame, currency_dim: DataFrame, category_dim: DataF
     euro = F.when(foreign, rounded_product("amount_euro", "conversion_rate", 3)).otherwise(F.col("amount_euro"))
     rows = rows.withColumn("amount_eur", euro).withColumn(
         "co2_emission_g", rounded_product("amount_eur", "co2_multiplier", 2))
-    return rows.groupBy("category_name", "counterparty_country").agg(
-        steady_mean("co2_emission_g").alias("mean_co2_emission_g"),
-        steady_sum("co2_emission_g").alias("total_co2_emission_g"),
-        steady_sum("amount_eur").alias("total_amount_eur"),
-        F.count(F.lit(1)).alias("transactions"),
+    values = {"grams": "co2_emission_g", "euro": "amount_eur", "every": F.lit(0.0)}
+    return exact_sums(rows, ["category_name", "counterparty_country"], values).select(
+        "category_name", "counterparty_country",
+        shown_mean("grams", "grams__n").alias("mean_co2_emission_g"),
+        shown("grams").alias("total_co2_emission_g"),
+        shown("euro").alias("total_amount_eur"),
+        F.col("every__n").alias("transactions"),
     )
