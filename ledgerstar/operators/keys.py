@@ -1,42 +1,36 @@
-"""Surrogate keys: dense ids without a single-task step.
+"""Surrogate keys: dense ids without a single-task step, by one path for every size.
 
 ``dense_ids`` numbers rows ``base+1 .. base+n`` in key order, which equals a
 global ``row_number() OVER (ORDER BY key) + base`` but is computed in
 parallel:
 
-1. range-partition the rows by key into P partitions and sort inside each;
-2. the position inside a partition and the partition index both come from
-   ``monotonically_increasing_id`` (partition index in the upper bits);
-3. count rows per partition (a P-row table) and turn the counts into start
-   offsets with a running sum over those P rows;
-4. broadcast-join the offsets (bounded by P) back and add them, the position
-   and the base (a scalar subquery when it is the table's current maximum).
-
-When the count shows at most one partition's worth of rows, a single ordered
-``row_number`` window does the same work without the extra steps.
-
-P comes from the row count and a target rows-per-partition. The sorted,
-numbered rows are written once with a reliable ``checkpoint()`` (the shared
-checkpoint folder) before they are counted and joined: both consumers then
-read the same materialised partitions, so partition sizes and positions
-agree by construction, and a lost executor cannot make a recomputation
-sample different range bounds. The sort includes every column and
-finally the row's position in the stored input as tie-breaks, so the
-numbering is fixed once the input is stored, and range bounds can split a hot
-key or a group of identical rows across partitions.
+1. the input is stored (unless it already is), so all later steps read the
+   same rows, and its row count comes from the file footers;
+2. its rows are range-partitioned by key into P partitions, sorted inside each,
+   and written once, with the partition and the position inside it as columns;
+3. the last position of each partition (two narrow columns of the written
+   table, one row per partition) gives the partition's start by a running sum;
+4. id = base + start + position, with the base a scalar subquery when it is
+   the table's current maximum.
+
+P comes from the row count and a target of rows per partition; there is no
+other path for few rows, which are one partition. The sort includes every
+column and finally the row's place in the stored input, so the numbering is
+fixed once the input is stored, range bounds can split a hot key or a group of
+identical rows across partitions, and a task that is recomputed after a lost
+executor gives every row the partition it had.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.session import shared_root
+from ledgerstar.sinks import store
 
 ROWS_PER_PARTITION = 2_000_000
-MAX_PARTITIONS = 20_000
 _POSITION_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row
 
 
@@ -73,50 +67,37 @@ def dense_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     ``base`` is an int or a one-row, one-column frame (e.g. ``max_id``); a
     frame stays in the plan as a scalar subquery instead of being collected.
     Ids that do not fit ``id_type`` fail rather than wrap, with or without
-    ANSI mode.
-
-    The input is checkpointed first (unless ``materialized`` says it already
-    is), so the row count, the range sampling and the shuffle read stored
-    rows instead of recomputing the upstream plan three times. A caller that
-    already knows the row count of a materialized input passes ``total``.
+    ANSI mode. A caller whose input is read from stored files says so with
+    ``materialized`` and may pass its row count as ``total``.
     """
     key_cols = list(key_cols)
     if id_col in df.columns:
         df = df.drop(id_col)
-    spark = df.sparkSession
-    shared_root(spark)  # checkpoint() needs the shared folder
     if not materialized:
-        df = df.checkpoint(eager=True)
-        total = None
+        df, total = store(df, "dense-ids-input"), None
     if total is None:
         total = df.count()
     keys = [F.col(c).asc_nulls_first() for c in key_cols]
     ties = [F.col(c).asc_nulls_first() for c in df.columns if c not in key_cols]
-    base_col = _base(df, base)
-    if total <= rows_per_partition:
-        # At most one partition's worth of rows (just counted): a single
-        # ordered window is the same work as one range partition.
-        rank = F.row_number().over(Window.orderBy(*keys, *ties))
-        return df.withColumn(id_col, _checked(base_col + rank, id_type))
-
-    parts = min(MAX_PARTITIONS, -(-total // rows_per_partition))
-    # Last tie-break: the row's position in the stored input (deterministic,
-    # since the input is checkpointed). Range bounds can then split even a
-    # key, or a group of identical rows, holding a large share of the data.
     order = [*keys, *ties, F.col("_ls_row").asc()]
-    ranked = (
+    ranked = store(
         df.withColumn("_ls_row", F.monotonically_increasing_id())
-        .repartitionByRange(parts, *order)
+        .repartitionByRange(max(1, -(-total // rows_per_partition)), *order)
         .sortWithinPartitions(*order)
         .withColumn("_ls_mid", F.monotonically_increasing_id())
         .withColumn("_ls_part", F.shiftright("_ls_mid", _POSITION_BITS))
         .withColumn("_ls_pos", F.col("_ls_mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
-        .checkpoint(eager=True)
-    )
-    sizes = ranked.groupBy("_ls_part").agg(F.count(F.lit(1)).alias("_ls_n"))
-    before = Window.orderBy("_ls_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_ls_part", F.coalesce(F.sum("_ls_n").over(before), F.lit(0)).alias("_ls_start"))
-    # starts has at most `parts` rows: a bounded broadcast.
-    numbered = ranked.join(F.broadcast(starts), "_ls_part")
-    new_id = base_col + F.col("_ls_start") + F.col("_ls_pos") + F.lit(1)
+        .drop("_ls_row", "_ls_mid"), "dense-ids")
+    new_id = _base(df, base) + F.col("_ls_start") + F.col("_ls_pos") + F.lit(1)
+    numbered = ranked.join(F.broadcast(partition_starts(ranked)), "_ls_part")
     return numbered.withColumn(id_col, _checked(new_id, id_type)).select(*df.columns, id_col)
+
+
+def partition_starts(ranked: DataFrame) -> DataFrame:
+    """(_ls_part, _ls_start): rows before each partition. One row per partition passes through the driver, a number a task at most."""
+    last = ranked.groupBy("_ls_part").agg(F.max("_ls_pos").alias("last")).collect()
+    rows, start = [], 0
+    for part, end in sorted((r["_ls_part"], r["last"]) for r in last):
+        rows.append((part, start))
+        start += end + 1
+    return ranked.sparkSession.createDataFrame(rows, "_ls_part bigint, _ls_start bigint")

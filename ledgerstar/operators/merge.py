@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstar.operators.keys import dense_ids, max_id
-from ledgerstar.session import shared_root
-from ledgerstar.sinks import append_by_name
+from ledgerstar.sinks import append_by_name, store
 
 
 def dedupe_by_key(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
@@ -58,13 +57,11 @@ def insert_only_merge(source: DataFrame, target_table: str, key_cols: Sequence[s
     With ``id_col``, only the new rows are numbered, densely, above the
     target's current maximum (kept in the plan, not collected).
     """
-    spark = source.sparkSession
-    shared_root(spark)  # checkpoint() below needs the shared folder
-    target = spark.table(target_table)
-    # Materialise the new rows once in the shared folder: the anti-join runs
-    # a single time, and the append no longer depends on the table's lineage.
-    fresh = new_rows_only(source, target, key_cols, null_safe).checkpoint(eager=True)
-    inserted = fresh.count()
+    target = source.sparkSession.table(target_table)
+    # Store the new rows once in the shared folder: the anti-join runs a single
+    # time, and the append no longer depends on the table's lineage.
+    fresh = store(new_rows_only(source, target, key_cols, null_safe), "merge")
+    inserted = fresh.count()  # from the file footers
     if not inserted:
         return 0
     if id_col:

@@ -22,6 +22,13 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def store(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` into a fresh folder of the shared storage and read it back: cuts lineage, survives lost executors."""
+    path = fresh_folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def overwrite_table(df: DataFrame, name: str, path: str) -> None:
     """Replace an external (path-backed) parquet catalog table."""
     df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
