@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 def main(argv: list[str] | None = None) -> None:
     from ledgerstar.operators.quality import report_path_for
     from ledgerstar.plans import gold, staging
-    from ledgerstar.plans.medallion import bronze_to_silver, run_medallion, validate
+    from ledgerstar.plans.medallion import bronze_to_silver, read_silver, run_medallion, validate
     from ledgerstar.sinks import Warehouse
     from ledgerstar.sources.reference_data import currency_rates
 
@@ -54,9 +54,10 @@ def main(argv: list[str] | None = None) -> None:
         out.update(success=v.success, result_path=v.result_path)
     elif args.step == "silver":
         out["rows"] = bronze_to_silver(spark.read.parquet(args.bronze), silver_dir,
-                                       result_path=args.report).count()
+                                       result_path=args.report,
+                                       report_path=f"{args.reports or f'{wh.root}/reports'}/silver_validation.json").count()
     elif args.step == "stage":
-        names = staging.write_staging(wh, spark.read.parquet(silver_dir),
+        names = staging.write_staging(wh, read_silver(spark, silver_dir),
                                       staging.read_category_map(spark, args.categories), currency_rates(spark))
         out["tables"] = names
     elif args.step == "gold":

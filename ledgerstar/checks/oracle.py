@@ -415,6 +415,20 @@ UNION ALL SELECT 'transactions', count(*) FROM g_fact"""),
     "suite_success": _q(f"""
 SELECT bool_and(success) AS success, count(*) AS rules, count(*) FILTER (WHERE NOT success) AS failed_rules
 FROM ({_SUITE}) r"""),
+    "silver_pass_report": _q(f"""
+SELECT *, CASE WHEN element_count > 0 THEN CAST(missing_count AS DOUBLE) * 100.0 / element_count END AS missing_percent,
+       CASE WHEN element_count > 0 THEN CAST(unexpected_count AS DOUBLE) * 100.0 / element_count END AS unexpected_percent_total,
+       unexpected_percent AS unexpected_percent_nonmissing
+FROM ({_SUITE}) r"""),
+    "silver_pass_statistics": _q(f"""
+SELECT count(*) AS evaluated_expectations, count(*) FILTER (WHERE success) AS successful_expectations,
+       count(*) FILTER (WHERE NOT success) AS unsuccessful_expectations,
+       CAST(count(*) FILTER (WHERE success) AS DOUBLE) * 100.0 / count(*) AS success_percent
+FROM ({_SUITE}) r"""),
+    "silver_and_quarantine": _q(f"""
+SELECT CASE WHEN bad THEN 'quarantine' ELSE 'clean' END AS side, booking_id, acct_ccy, bookg_amt, bookg_dt_tm_cet,
+       ctpty_adr_line1, CAST(NULL AS VARCHAR) AS ctpty_adr_line2, CASE WHEN bad THEN failed END AS failed_rules
+FROM (SELECT *, {_FAILED} AS failed, v_amount OR v_cents OR v_currency OR v_gmt OR v_cet AS bad FROM flagged) x"""),
     "clean_rows": _q("SELECT * FROM silver"),
     "silver_from_report": _q("SELECT * FROM silver"),
     "silver_passing_unchanged": _q("""

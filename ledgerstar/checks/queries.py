@@ -424,6 +424,41 @@ def typed_bronze_clean(spark, sf):
     return _each_typed(lambda b, k: bronze_to_silver(b, f"{wh.root}/silver/{k}").select("booking_id", "bookg_amt", "bookg_amt_nmrc"), spark, sf)
 
 
+def _silver_pass(spark, sf, tag: str):
+    """The silver step over bronze with its report stored by the writing pass: (silver folder, report path)."""
+    from ledgerstar.plans.medallion import bronze_to_silver
+
+    wh = Warehouse.fresh(spark, tag)
+    path = Q.report_path_for("transactions_bronze.parquet", f"{wh.root}/reports")
+    bronze_to_silver(bronze(spark, sf), f"{wh.root}/silver/staging_parquet", report_path=path)
+    return f"{wh.root}/silver/staging_parquet", path
+
+
+def silver_pass_report(spark, sf):
+    """V7, V8: the report that the silver write counts on its way, stored and read back with every percentage."""
+    from ledgerstar.plans.medallion import read_report_detail
+
+    return read_report_detail(spark, _silver_pass(spark, sf, "pass-report")[1])
+
+
+def silver_pass_statistics(spark, sf):
+    """The statistics block of the same report."""
+    from ledgerstar.plans.medallion import read_statistics
+
+    return read_statistics(spark, _silver_pass(spark, sf, "pass-statistics")[1])
+
+
+def silver_and_quarantine(spark, sf):
+    """Clean and quarantined rows, written by one job, read back from both sides."""
+    from ledgerstar.plans.medallion import read_quarantine, read_silver
+
+    folder, _ = _silver_pass(spark, sf, "both-sides")
+    clean = read_silver(spark, folder).withColumns({"side": F.lit("clean"), "failed_rules": F.lit(None).cast("string")})
+    bad = read_quarantine(spark, folder).withColumn("side", F.lit("quarantine"))
+    columns = ["side", "booking_id", "acct_ccy", "bookg_amt", "bookg_dt_tm_cet", "ctpty_adr_line1", "ctpty_adr_line2", "failed_rules"]
+    return clean.select(columns).unionByName(bad.select(columns))
+
+
 def silver_from_report(spark, sf):
     """Silver as a stored report decides; this input fails, so its rows are cleaned."""
     from ledgerstar.plans.medallion import bronze_to_silver
@@ -618,6 +653,9 @@ QUERIES: dict[str, Query] = {
     "text_bronze_clean": text_bronze_clean,
     "typed_bronze_report": typed_bronze_report,
     "typed_bronze_clean": typed_bronze_clean,
+    "silver_pass_report": silver_pass_report,
+    "silver_pass_statistics": silver_pass_statistics,
+    "silver_and_quarantine": silver_and_quarantine,
     "suite_report": suite_report,
     "suite_success": suite_success,
     "clean_rows": clean_rows,

@@ -15,7 +15,7 @@ import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,7 +191,7 @@ def drop_raw(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(RAW_PREFIX)])
 
 
-def _check(df: DataFrame, rules: Sequence[Rule]) -> None:
+def check_suite(df: DataFrame, rules: Sequence[Rule]) -> None:
     if not rules:
         raise ValueError("a suite needs at least one rule")
     require_columns(df, sorted({r.column for r in rules}))
@@ -200,19 +200,16 @@ def _check(df: DataFrame, rules: Sequence[Rule]) -> None:
         raise ValueError(f"duplicate rule names: {names}")
 
 
-def evaluate_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Validation report, one row per rule, from a single aggregation pass.
-
-    Columns: rule, column, element_count, missing_count, unexpected_count,
-    unexpected_percent (of the checked, i.e. non-missing, values; NULL when
-    nothing was checked) and success (no unexpected value).
-    """
-    _check(df, rules)
+def suite_counts(rules: Sequence[Rule]) -> list[Column]:
+    """The suite's aggregates: rows (``_ls_n``) and per rule missing (``_ls_m<i>``) and unexpected values (``_ls_u<i>``)."""
     aggs = [F.count(F.lit(1)).alias("_ls_n")]
     for i, rule in enumerate(rules):
-        aggs.append(F.count_if(rule.missing()).alias(f"_ls_m{i}"))
-        aggs.append(F.count_if(rule.violation()).alias(f"_ls_u{i}"))
-    totals = df.agg(*aggs)
+        aggs.append(F.count(F.when(rule.missing(), True)).alias(f"_ls_m{i}"))
+        aggs.append(F.count(F.when(rule.violation(), True)).alias(f"_ls_u{i}"))
+    return aggs
+
+
+def _report(totals: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     entries = F.array(*[
         F.struct(F.lit(i).alias("ordinal"), F.lit(r.name).alias("rule"), F.lit(r.reported_column).alias("column"),
                  F.col(f"_ls_m{i}").alias("missing_count"), F.col(f"_ls_u{i}").alias("unexpected_count"))
@@ -228,6 +225,46 @@ def evaluate_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def evaluate_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Validation report, one row per rule, from a single aggregation pass.
+
+    Columns: rule, column, element_count, missing_count, unexpected_count,
+    unexpected_percent (of the checked, i.e. non-missing, values; NULL when
+    nothing was checked) and success (no unexpected value).
+    """
+    check_suite(df, rules)
+    return _report(df.agg(*suite_counts(rules)), rules)
+
+
+def report_from_counts(spark: SparkSession, counts: Mapping[str, int], rules: Sequence[Rule]) -> DataFrame:
+    """The same report from counts that another pass has observed (``suite_counts``): one row per rule, nothing is read."""
+    names = [f"_ls_{kind}{i}" for i in range(len(rules)) for kind in "mu"]
+    row = [int(counts[n]) for n in ("_ls_n", *names)]
+    return _report(spark.createDataFrame([row], ", ".join(f"{n} bigint" for n in ("_ls_n", *names))), rules)
+
+
+def suite_statistics(report: DataFrame) -> DataFrame:
+    """One row: expectations evaluated, successful and not, and the percentage of successful ones."""
+    n, good = F.count(F.lit(1)), F.count(F.when(F.col("success"), True))
+    return report.agg(n.alias("evaluated_expectations"), good.alias("successful_expectations"),
+                      (n - good).alias("unsuccessful_expectations"),
+                      F.when(n > 0, good.cast("double") * F.lit(100.0) / n.cast("double")).alias("success_percent"))
+
+
+def report_detail(report: DataFrame) -> DataFrame:
+    """The report with every percentage: missing of all values, unexpected of all and of the values that are there."""
+    every, missing = F.col("element_count"), F.col("missing_count")
+
+    def percent(part: Column, whole: Column) -> Column:
+        return F.when(whole > 0, part.cast("double") * F.lit(100.0) / whole.cast("double"))
+
+    return report.withColumns({
+        "missing_percent": percent(missing, every),
+        "unexpected_percent_total": percent(F.col("unexpected_count"), every),
+        "unexpected_percent_nonmissing": percent(F.col("unexpected_count"), every - missing),
+    })
+
+
 def suite_summary(report: DataFrame) -> DataFrame:
     """One row: overall success, number of rules, number of failed rules."""
     return report.agg(
@@ -252,7 +289,7 @@ def split_rows(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
 
     Complete and order-free: every row lands in exactly one of the two.
     """
-    _check(df, rules)
+    check_suite(df, rules)
     flag = violation_flag(rules)
     good = df.filter(~flag)
     quarantine = df.filter(flag).withColumn("failed_rules", failed_rule_names(rules))
@@ -274,7 +311,7 @@ def unexpected_values(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     count is a partial (map-side) aggregation, so a hot value is combined
     before the shuffle.
     """
-    _check(df, rules)
+    check_suite(df, rules)
     entries = F.array(*[
         F.when(r.violation(), F.struct(F.lit(r.name).alias("rule"), F.lit(r.reported_column).alias("column"),
                                         r.value().alias("value")))

@@ -76,6 +76,17 @@ VALIDATION_REPORT = T.StructType([
     T.StructField("success", T.BooleanType()),
 ])
 
+VALIDATION_DETAIL = T.StructType(VALIDATION_REPORT.fields + [
+    T.StructField(n, T.DoubleType())
+    for n in ("missing_percent", "unexpected_percent_total", "unexpected_percent_nonmissing")])
+
+VALIDATION_STATISTICS = T.StructType([
+    T.StructField("evaluated_expectations", T.LongType()),
+    T.StructField("successful_expectations", T.LongType()),
+    T.StructField("unsuccessful_expectations", T.LongType()),
+    T.StructField("success_percent", T.DoubleType()),
+])
+
 
 def ddl(schema: T.StructType) -> str:
     """Column list for CREATE TABLE, e.g. ``currency STRING, rate DOUBLE``."""

@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerstar import schemas
-from ledgerstar.operators.quality import DEFAULT_SUITE, Rule, clean_rows, conform_with_checks, drop_raw, evaluate_suite
-from ledgerstar.plans.medallion import write_report
+from ledgerstar.operators.quality import DEFAULT_SUITE, RAW_PREFIX, Rule
+from ledgerstar.plans.medallion import QUARANTINED, split_to_silver, write_report
 
 
 def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_dir: str,
@@ -43,10 +42,8 @@ def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         stream_id = spark.read.schema("id string").json(f"{checkpoint_location}/metadata").filter("id IS NOT NULL").first()["id"]
         folder = f"stream={stream_id}/batch_id={batch_id}"
-        batch, cast_rules = conform_with_checks(batch, schemas.BRONZE_TYPES)
-        checks = [*cast_rules, *rules]
-        write_report(evaluate_suite(batch, checks), f"{report_dir}/{folder}")
-        drop_raw(clean_rows(batch, checks)).write.mode("overwrite").parquet(f"{silver_dir}/{folder}")
+        silver = split_to_silver(batch, f"{silver_dir}/{folder}", rules, always_clean=True)  # reads the batch once
+        write_report(silver.report, f"{report_dir}/{folder}")
 
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -56,7 +53,18 @@ def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_
     return writer.start()
 
 
+def _rows(spark: SparkSession, silver_dir: str, stream: str | None, quarantined: bool) -> DataFrame:
+    rows = spark.read.parquet(silver_dir)
+    rows = rows.filter(F.col(QUARANTINED).cast("string") == str(quarantined).lower())
+    return (rows if stream is None else rows.filter(F.col("stream") == stream)).drop("stream", "batch_id", QUARANTINED)
+
+
 def read_silver(spark: SparkSession, silver_dir: str, stream: str | None = None) -> DataFrame:
     """Silver rows written by one stream, or by all (without the folder columns)."""
-    rows = spark.read.parquet(silver_dir)
-    return (rows if stream is None else rows.filter(F.col("stream") == stream)).drop("stream", "batch_id")
+    rows = _rows(spark, silver_dir, stream, False)
+    return rows.drop("failed_rules", *[c for c in rows.columns if c.startswith(RAW_PREFIX)])
+
+
+def read_quarantine(spark: SparkSession, silver_dir: str, stream: str | None = None) -> DataFrame:
+    """Quarantined rows written by one stream, or by all, with the names of the rules they break."""
+    return _rows(spark, silver_dir, stream, True)
