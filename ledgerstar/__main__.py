@@ -18,7 +18,7 @@ import argparse
 import json
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> None:
     from ledgerstar.plans import gold, staging
     from ledgerstar.plans.medallion import bronze_to_silver, read_silver, run_medallion, validate
     from ledgerstar.sinks import Warehouse
+    from ledgerstar.sources.reconcile import read_reconciled
     from ledgerstar.sources.reference_data import currency_rates
 
     parser = argparse.ArgumentParser(prog="ledgerstar")
@@ -47,13 +48,21 @@ def main(argv: list[str] | None = None) -> None:
     wh = Warehouse(spark, args.warehouse.rstrip("/")) if args.warehouse else Warehouse.default(spark)
     silver_dir = args.silver or f"{wh.root}/silver/staging_parquet"
     out: dict = {"step": args.step}
+
+    def bronze() -> DataFrame:
+        """The landed files, whose columns and types may differ; conflicts show in the step's output."""
+        landed = read_reconciled(spark, args.bronze)
+        if landed.conflicts:
+            out["schema_conflicts"] = landed.conflicts
+        return landed.rows
+
     if args.step == "validate":
         name = args.name or os.path.basename(args.bronze.rstrip("/"))
         path = report_path_for(name, args.reports or f"{wh.root}/reports")
-        v = validate(spark.read.parquet(args.bronze), result_path=path)
+        v = validate(bronze(), result_path=path)
         out.update(success=v.success, result_path=v.result_path)
     elif args.step == "silver":
-        out["rows"] = bronze_to_silver(spark.read.parquet(args.bronze), silver_dir,
+        out["rows"] = bronze_to_silver(bronze(), silver_dir,
                                        result_path=args.report,
                                        report_path=f"{args.reports or f'{wh.root}/reports'}/silver_validation.json").count()
     elif args.step == "stage":
@@ -67,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
         gold.ensure_gold(wh)
         out["counts"] = {r["table_name"]: r["row_count"] for r in gold.gold_audit(wh).collect()}
     else:
-        out["inserted"] = run_medallion(spark, spark.read.parquet(args.bronze),
+        out["inserted"] = run_medallion(spark, bronze(),
                                         staging.read_category_map(spark, args.categories),
                                         currency_rates(spark), wh, result_path=args.report)
     print(json.dumps(out, default=str))

@@ -295,6 +295,12 @@ def _fact_keys() -> str:
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": _q("SELECT * FROM bronze"),
     "scan_parquet_glob": _q("SELECT * FROM silver"),
+    "scan_glob_differing_schemas": _q("""
+SELECT booking_id, acct_ccy, bookg_amt, dtld_tx_tp,
+       CASE booking_id % 3 WHEN 0 THEN bookg_amt WHEN 1 THEN CAST(CAST(bookg_amt AS FLOAT) AS DOUBLE) END AS weight,
+       CASE WHEN booking_id % 3 <> 1 THEN ctpty_nm END AS ctpty_nm,
+       CASE WHEN booking_id % 3 = 1 THEN 'web' END AS channel
+FROM bronze"""),
     "scan_csv_roundtrip": _q("""
 SELECT s.currency, s.amount_euro, s.payment_date, s.counterparty_country, s.counterparty_name,
        s.counterparty_add, s.category_code, c.category_name, c.co2_multiplier

@@ -30,6 +30,7 @@ from ledgerstar.sinks import (Warehouse, create_table_if_absent, overwrite_parqu
                               overwrite_table)
 from ledgerstar.sources import files
 from ledgerstar.sources.bronze import bronze_transactions
+from ledgerstar.sources.reconcile import read_reconciled
 from ledgerstar.sources.reference_data import currency_rates, sample_category_map
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +121,28 @@ def scan_parquet_glob(spark, sf):
     return files.read_parquet(spark, f"{folder}/*.parquet")
 
 
+def landed_files(spark: SparkSession, sf: str, folder: str) -> str:
+    """Bronze landed as three files of differing schemas; returns the glob.
+
+    The second has INT ids, a FLOAT weight, a channel and no counterparty; the third has amounts as text and no weight.
+    """
+    b = bronze(spark, sf).select("booking_id", "acct_ccy", "bookg_amt", F.col("bookg_amt").alias("weight"), "dtld_tx_tp", "ctpty_nm")
+    third = F.pmod("booking_id", F.lit(3))
+    one = b.filter(third == 0)
+    two = b.filter(third == 1).select(F.col("booking_id").cast("int").alias("booking_id"), "acct_ccy", "bookg_amt",
+                                      F.col("weight").cast("float").alias("weight"), "dtld_tx_tp", F.lit("web").alias("channel"))
+    three = b.filter(third == 2).select("booking_id", "acct_ccy", F.col("bookg_amt").cast("string").alias("bookg_amt"), "dtld_tx_tp", "ctpty_nm")
+    for day, rows in enumerate((one, two, three)):
+        overwrite_parquet(rows, f"{folder}/day{day}")
+    return f"{folder}/day*"
+
+
+def scan_glob_differing_schemas(spark, sf):
+    """Files of differing schemas read as one table: widened, filled with NULL, conflicts as text and parsed at the boundary."""
+    wh = Warehouse.fresh(spark, "scan-differing")
+    return conform(read_reconciled(spark, landed_files(spark, sf, f"{wh.root}/bronze")).rows, schemas.BRONZE_TYPES)
+
+
 def scan_csv_roundtrip(spark, sf):
     """S3: category names with comma, quote and line break, through CSV and back."""
     wh = Warehouse.fresh(spark, "scan-csv")
@@ -611,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "exact_sum_cancelling": exact_sum_cancelling,
     "scan_parquet": scan_parquet,
     "scan_parquet_glob": scan_parquet_glob,
+    "scan_glob_differing_schemas": scan_glob_differing_schemas,
     "scan_csv_roundtrip": scan_csv_roundtrip,
     "scan_catalog_table": scan_catalog_table,
     "scan_temp_view": scan_temp_view,

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerstar.operators.quality import DEFAULT_SUITE, RAW_PREFIX, Rule
 from ledgerstar.plans.medallion import QUARANTINED, split_to_silver, write_report
+from ledgerstar.sources.reconcile import read_reconciled
 
 
 def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_dir: str,
@@ -33,11 +34,16 @@ def ingest_bronze(spark: SparkSession, bronze_dir: str, silver_dir: str, report_
                   available_now: bool = True) -> StreamingQuery:
     """Start the ingestion stream; returns the running query.
 
-    ``schema`` defaults to that of the files landed so far: every column is
-    kept, and one of another type is cast and checked as in the batch steps.
+    ``schema`` defaults to that of the files landed so far, which may differ:
+    every column of any of them is kept, types are widened, and a column of
+    another type than expected is cast and checked as in the batch steps.
     """
     rules = list(rules)
-    schema = schema or spark.read.parquet(bronze_dir).schema
+    if schema is None:
+        landed = read_reconciled(spark, bronze_dir)
+        if landed.conflicts:
+            raise ValueError(f"landed files disagree on the type of {landed.conflicts}: pass a schema or read them in batches")
+        schema = landed.schema
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         stream_id = spark.read.schema("id string").json(f"{checkpoint_location}/metadata").filter("id IS NOT NULL").first()["id"]
