@@ -100,7 +100,7 @@ report AS (
   FROM emission
   WHERE category_name <> {_text(EXCLUDED_CATEGORY_NAME)} AND counterparty_country = 'NATION_19'
 ),
-sta_b1 AS (SELECT * FROM sta WHERE payment_date < DATE '1995-01-01'),
+sta_b1 AS (SELECT * FROM sta WHERE payment_date < DATE '1998-01-01'),
 cal_all AS (SELECT DISTINCT payment_date FROM sta),
 cal_b1 AS (SELECT DISTINCT payment_date FROM sta_b1),
 cp_all AS (SELECT DISTINCT counterparty_add, counterparty_country, counterparty_name FROM sta),
@@ -176,7 +176,7 @@ _FAILED = ("concat_ws(',', CASE WHEN v_amount THEN 'amount_not_negative' END, "
            "CASE WHEN v_gmt THEN 'booked_gmt_present' END, "
            "CASE WHEN v_cet THEN 'booked_cet_present' END)")
 
-# calendar loaded in two runs (payments before 1995, then all)
+# calendar loaded in two runs (payments before 1998, then all)
 _CAL_TWO_RUNS = """
 , t1 AS (SELECT payment_date, row_number() OVER (ORDER BY payment_date NULLS FIRST) AS date_id FROM cal_b1),
 n2 AS (SELECT payment_date FROM cal_all a
@@ -342,16 +342,21 @@ def _with_ctes(extra: str, select: str) -> str:
     return f"WITH {BASE.strip()}\n{extra.strip()}\n{select.strip()}"
 
 
-ORACLE_SQL["union_dedupe_by_key"] = _with_ctes(f"""
+_REBUILT = f"""
 , existing AS (SELECT {_CP_COLS}, 0 AS prio FROM cp_one_b1),
 incoming AS (SELECT {_CP_COLS}, 1 AS prio FROM cp_all),
 both_ AS (SELECT * FROM existing UNION ALL SELECT * FROM incoming),
 one AS (SELECT {_CP_COLS} FROM both_
         QUALIFY row_number() OVER (PARTITION BY counterparty_add ORDER BY prio,
-                counterparty_country NULLS FIRST, counterparty_name NULLS FIRST) = 1)""", f"""
+                counterparty_country NULLS FIRST, counterparty_name NULLS FIRST) = 1)"""
+ORACLE_SQL["union_dedupe_by_key"] = _with_ctes(_REBUILT, f"""
 SELECT {_CP_COLS}, CAST(row_number() OVER (ORDER BY counterparty_add NULLS FIRST) AS INTEGER) AS counterparty_id
 FROM one""")
 
+ORACLE_SQL["rebuild_rekeys_facts"] = _with_ctes(_REBUILT, """
+SELECT s.amount_euro, r.counterparty_id, r.counterparty_add
+FROM sta_b1 s LEFT JOIN (SELECT counterparty_add, CAST(row_number() OVER (ORDER BY counterparty_add NULLS FIRST) AS INTEGER) AS counterparty_id
+                         FROM one) r ON s.counterparty_add = r.counterparty_add""")
 ORACLE_SQL["exists_then_create_or_merge"] = _with_ctes(
     _CAL_TWO_RUNS, f"SELECT {_CALENDAR_COLS}, CAST(date_id AS INTEGER) AS date_id FROM t2")
 ORACLE_SQL["insert_only_merge"] = ORACLE_SQL["exists_then_create_or_merge"]

@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 
 from ledgerstar import schemas
 from ledgerstar.operators.joins import fits_broadcast, lookup_join, row_spread
-from ledgerstar.operators.merge import build_dim
+from ledgerstar.operators.merge import build_dim, union_dedupe_by_key
 from ledgerstar.session import run_concurrently
-from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent
+from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent, overwrite_table, store
 from ledgerstar.sources.files import table_exists
 
 
@@ -93,6 +93,33 @@ def load_gold(wh: Warehouse, staging_names: dict[str, str]) -> dict[str, int]:
     return inserted
 
 
+def rebuild_dimension(wh: Warehouse, dim: Dimension, incoming: DataFrame) -> DataFrame:
+    """Renumber a dimension that stored facts refer to, and the facts with it; returns (old id, new id) of every old member.
+
+    Existing members win over incoming rows of the same key, all members get
+    dense ids in key order, and the fact table's ids are exchanged by a join
+    with the map of old to new ids (size-checked; a hot member's facts are
+    spread). Facts keep their business key: an id without a member in the old
+    dimension fails the job, NULL stays NULL. Both tables are written in full
+    beside the old ones before either is replaced; one writer at a time.
+    """
+    name, fact_name = wh.table("gold", dim.table), wh.table("gold", FACT_TABLE)
+    existing, facts = wh.spark.table(name), wh.spark.table(fact_name)
+    columns = [c for c in existing.columns if c != dim.id_col]
+    rebuilt = store(union_dedupe_by_key(existing, incoming.select(*columns), [dim.key], dim.id_col), f"rebuilt-{dim.table}")
+    old = existing.select(F.col(dim.key).alias("_ls_key"), F.col(dim.id_col).alias("_ls_old"))
+    moved = old.join(rebuilt.select(dim.key, dim.id_col), F.col("_ls_key").eqNullSafe(F.col(dim.key)))
+    moved = store(moved.select(F.col("_ls_old").alias(dim.id_col), F.col(dim.id_col).alias("_ls_new")), f"moved-{dim.table}")
+    lost = F.col(dim.id_col).isNotNull() & F.col("_ls_new").isNull()
+    new_id = F.when(lost, F.raise_error(F.lit(f"a fact refers to no member of {dim.table}"))).otherwise(F.col("_ls_new"))
+    rekeyed = lookup_join(facts, moved, dim.id_col, "left")
+    rekeyed = rekeyed.select(*[new_id.cast(facts.schema[c].dataType).alias(c) if c == dim.id_col else F.col(c) for c in facts.columns])
+    rekeyed = store(rekeyed, f"rekeyed-{FACT_TABLE}")
+    overwrite_table(rebuilt.select(*existing.columns), name, wh.location("gold", dim.table))
+    overwrite_table(rekeyed, fact_name, wh.location("gold", FACT_TABLE))
+    return moved.select(dim.id_col, F.col("_ls_new").alias("new_id"))
+
+
 def gold_audit(wh: Warehouse) -> DataFrame:
     """Row count of every gold table, as one frame ``(table_name, row_count)``."""
     counts = [

@@ -122,7 +122,9 @@ def test_salted_lookup_equals_broadcast_lookup(spark):
 
 def test_first_batch_split(spark):
     st = QQ.staged(spark, SF001)
-    assert QQ.first_batch(st).filter(F.col("payment_date") >= dt.date(1995, 1, 1)).count() == 0
+    first = QQ.first_batch(st)
+    assert first.filter(F.col("payment_date") >= dt.date(1998, 1, 1)).count() == 0
+    assert 0 < first.count() < st.count()  # both loads of the two-load checks have rows of their own
 
 
 def test_clean_from_stored_report_equals_predicate_clean(spark, wh):
