@@ -312,7 +312,9 @@ FROM sta s LEFT JOIN categories c ON s.category_code = c.category_code"""),
     "sink_table_overwrite": _q("SELECT * FROM cp_all"),
     "create_if_absent_twice": _q(f"SELECT {_CALENDAR_COLS}, date_id FROM g_calendar"),
     "staging_transactions": _q("SELECT * FROM sta"),
-    "reorder_columns": _q("SELECT * FROM sta"),
+    "reorder_columns": _q("""
+SELECT counterparty_add AS column_0, amount_euro AS column_1, currency AS column_2, payment_date AS column_3,
+       counterparty_country AS column_4, counterparty_name AS column_5, category_code AS column_6 FROM sta"""),
     "typed_null_columns": _q("""
 SELECT *, CAST(NULL AS VARCHAR) AS ctpty_adr_line2, CAST(NULL AS VARCHAR) AS rmt_inf_ustrd2,
        CAST(NULL AS VARCHAR) AS tx_tp FROM bronze"""),
@@ -320,7 +322,7 @@ SELECT *, CAST(NULL AS VARCHAR) AS ctpty_adr_line2, CAST(NULL AS VARCHAR) AS rmt
 SELECT event_id, CAST(ts AS DATE) AS payment_day, strftime(ts, '%d-%m-%Y') AS day_text,
        CAST(ts AS DATE) AS day_parsed
 FROM events""",
-    "calendar_dim": _q(f"SELECT {_CALENDAR_COLS} FROM cal_all"),
+    "calendar_dim": _q(f"SELECT {_CALENDAR_COLS}, row_number() OVER (ORDER BY payment_date) AS stored_rank FROM cal_all"),
     "counterparty_distinct": _q("SELECT * FROM cp_all"),
     "counterparty_one_per_key": _q("SELECT * FROM cp_one_all"),
     "max_id_default_zero": _q("""
