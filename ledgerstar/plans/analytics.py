@@ -98,11 +98,11 @@ def star_emissions(fact: DataFrame, currency_dim: DataFrame, category_dim: DataF
     euro = F.when(foreign, rounded_product("amount_euro", "conversion_rate", 3)).otherwise(F.col("amount_euro"))
     rows = rows.withColumn("amount_eur", euro).withColumn(
         "co2_emission_g", rounded_product("amount_eur", "co2_multiplier", 2))
-    values = {"grams": "co2_emission_g", "euro": "amount_eur", "every": F.lit(0.0)}
+    values = {"grams": "co2_emission_g", "euro": "amount_eur"}
     return exact_sums(rows, ["category_name", "counterparty_country"], values).select(
         "category_name", "counterparty_country",
         shown_mean("grams", "grams__n").alias("mean_co2_emission_g"),
         shown("grams").alias("total_co2_emission_g"),
         shown("euro").alias("total_amount_eur"),
-        F.col("every__n").alias("transactions"),
+        F.col("__rows").alias("transactions"),
     )

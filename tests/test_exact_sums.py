@@ -85,7 +85,7 @@ def test_special_values(spark):
 def test_keys_names_and_empty_tables(spark):
     df = spark.createDataFrame([(None, "x", 1.5, 2), (None, "x", 2.5, None), ("a", None, None, 3)], "`k.1` string, base string, v double, w int")
     got = sorted(map(str, exact_sums(df, ["k.1", "base"], {"v": "v", "twice": F.col("w") * 2}).collect()))
-    assert got == sorted(["Row(k.1=None, base='x', v=4.0, v__n=2, twice=4.0, twice__n=1)", "Row(k.1='a', base=None, v=None, v__n=0, twice=6.0, twice__n=1)"])
+    assert got == sorted(["Row(k.1=None, base='x', v=4.0, v__n=2, twice=4.0, twice__n=1, __rows=2)", "Row(k.1='a', base=None, v=None, v__n=0, twice=6.0, twice__n=1, __rows=1)"])
     assert exact_sums(df.limit(0), ["k.1"], {"v": "v"}).count() == 0
 
 
