@@ -21,7 +21,7 @@ from ledgerstar.functions.columns import blank_columns, conform, reorder_columns
 from ledgerstar.functions.dates import format_day, parse_day, to_day
 from ledgerstar.operators import quality as Q
 from ledgerstar.operators.joins import lookup_join
-from ledgerstar.operators.keys import dense_ids, max_id
+from ledgerstar.operators.keys import dense_ids, stored_max_id
 from ledgerstar.operators.merge import (build_dim, dedupe_by_key, insert_only_merge,
                                         union_dedupe_by_key)
 from ledgerstar.plans import analytics, gold, staging
@@ -264,13 +264,13 @@ def counterparty_one_per_key(spark, sf):
 # --- ids ----------------------------------------------------------------------
 
 def max_id_default_zero(spark, sf):
-    """A1: max id of a loaded dimension, and 0 for an empty one."""
+    """A1: max id of a loaded dimension, from its footers, and 0 for an empty one."""
     wh = Warehouse.fresh(spark, "max-id")
     gold.ensure_gold(wh)
     dim = gold.DIMENSIONS[3]
     gold.load_dimension(wh, dim, staging.counterparty_source(staged(spark, sf)))
-    loaded = max_id(spark.table(wh.table("gold", dim.table)), dim.id_col)
-    empty = max_id(spark.table(wh.table("gold", "transactions")), "currency_id")
+    loaded = stored_max_id(spark, wh.table("gold", dim.table), dim.id_col)
+    empty = stored_max_id(spark, wh.table("gold", "transactions"), "currency_id")
     return (loaded.select(F.lit(dim.table).alias("table_name"), "max_id")
             .unionByName(empty.select(F.lit("transactions").alias("table_name"), "max_id")))
 

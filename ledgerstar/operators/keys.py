@@ -25,10 +25,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstar.sinks import store
+from ledgerstar.sources.footers import from_footers
 
 ROWS_PER_PARTITION = 2_000_000
 _POSITION_BITS = 33  # monotonically_increasing_id layout: partition << 33 | row
@@ -39,6 +40,16 @@ def max_id(target: DataFrame, id_col: str) -> DataFrame:
     return target.agg(F.coalesce(F.max(id_col).cast("bigint"), F.lit(0).cast("bigint")).alias("max_id"))
 
 
+def stored_max_id(spark: SparkSession, table: str, id_col: str) -> DataFrame:
+    """``max_id`` of a stored table from its footers. A file of NULL ids has no maximum to give: then the column is read.
+
+    Whether there are NULL ids is a count from the footers, too.
+    """
+    stored = from_footers(spark, table)
+    n = stored.agg(F.count(F.lit(1)).alias("rows"), F.count(id_col).alias("ids")).first()
+    return max_id(stored if n["rows"] == n["ids"] else spark.table(table), id_col)
+
+
 _TYPE_MAX = {"int": 2**31 - 1, "integer": 2**31 - 1, "bigint": 2**63 - 1, "long": 2**63 - 1}
 
 

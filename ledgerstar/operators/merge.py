@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstar.operators.keys import dense_ids, max_id
+from ledgerstar.operators.keys import dense_ids, stored_max_id
 from ledgerstar.sinks import append_by_name, store
 
 
@@ -57,7 +57,8 @@ def insert_only_merge(source: DataFrame, target_table: str, key_cols: Sequence[s
     With ``id_col``, only the new rows are numbered, densely, above the
     target's current maximum (kept in the plan, not collected).
     """
-    target = source.sparkSession.table(target_table)
+    spark = source.sparkSession
+    target = spark.table(target_table)
     # Store the new rows once in the shared folder: the anti-join runs a single
     # time, and the append no longer depends on the table's lineage.
     fresh = store(new_rows_only(source, target, key_cols, null_safe), "merge")
@@ -65,7 +66,7 @@ def insert_only_merge(source: DataFrame, target_table: str, key_cols: Sequence[s
     if not inserted:
         return 0
     if id_col:
-        fresh = dense_ids(fresh, key_cols, id_col, base=max_id(target, id_col), materialized=True,
+        fresh = dense_ids(fresh, key_cols, id_col, base=stored_max_id(spark, target_table, id_col), materialized=True,
                           total=inserted)
     append_by_name(fresh, target_table)
     return inserted

@@ -19,6 +19,7 @@ from ledgerstar.operators.merge import build_dim, union_dedupe_by_key
 from ledgerstar.session import run_concurrently
 from ledgerstar.sinks import Warehouse, append_by_name, create_table_if_absent, overwrite_table, store
 from ledgerstar.sources.files import table_exists
+from ledgerstar.sources.footers import from_footers
 
 
 @dataclass(frozen=True)
@@ -121,9 +122,9 @@ def rebuild_dimension(wh: Warehouse, dim: Dimension, incoming: DataFrame) -> Dat
 
 
 def gold_audit(wh: Warehouse) -> DataFrame:
-    """Row count of every gold table, as one frame ``(table_name, row_count)``."""
+    """Row count of every gold table, as one frame ``(table_name, row_count)``, from the files' footers."""
     counts = [
-        wh.spark.table(wh.table("gold", t)).agg(F.count(F.lit(1)).alias("row_count"))
+        from_footers(wh.spark, wh.table("gold", t)).agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(t).alias("table_name"), "row_count")
         for t in ("calendar_dim", "currency_dim", "category_dim", "counter_party_dim", FACT_TABLE)
     ]
