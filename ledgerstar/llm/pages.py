@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,8 +57,9 @@ NAMED = re.compile(
     re.IGNORECASE,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
-TAG = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z))", re.DOTALL)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>]|\Z)", re.IGNORECASE)
+TAG = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)((?:=\s*+\"[^\"]*\"|=\s*+'[^']*'|[^<>])*+)>|!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z))", re.DOTALL)
+#: One attribute and its value; a quote only opens a value behind an equals sign.
+ATTRIBUTE = re.compile(r"([^\s/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'][^\s]*)))?")
 BLANK = re.compile(r"\s+")
 
 
@@ -84,27 +84,40 @@ def _declared(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
 def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
     """(text, dropped by declaration, inside article or main) of every block in page order; blank blocks are left out.
 
-    An element named by class or id is no declaration when it holds an article, main or most of the text that is left.
+    An element named by class or id is no declaration when it holds an article, main or most of the text that is left,
+    or when it is inline and its block has other words, too: a block is never split or cut for the name of a part of
+    a sentence. Inline elements that are not shown (hidden, aria-hidden, style) leave their block, which stays one.
     """
     out: list[tuple[str, bool, bool, int]] = []
     if not page:
         return []
     stack: list[tuple[str, bool, bool, int]] = []  # element, dropped, inside, nearest named element around it
-    parts: list[str] = []
+    parts: list[tuple[str, bool, int]] = []  # text, dropped and nearest named element there
     dropped = inside = False
     # Of each named element the nearest one around it, and whether it holds an article; 0 stands for none.
     around, outer, holds = 0, [0], [True]
 
     def flush() -> None:
-        text = BLANK.sub(" ", html.unescape("".join(parts))).strip()
+        if not parts:
+            return
+        # The first part lies before any inline element that begins in this block.
+        _, gone, level = parts[0]
+        words = [p for p in parts if p[0] and not p[0].isspace()]
+        shown = [p for p in parts if not p[1]]
+        if gone or all(p[1] for p in words):
+            gone, shown = True, parts
+        named = [p[2] for p in words if gone or not p[1]]
+        if named and level not in named:
+            level = named[0]
+        text = BLANK.sub(" ", html.unescape("".join(p[0] for p in shown))).strip()
         parts.clear()
         if text:
-            out.append((text, dropped, inside, around))
+            out.append((text, gone, inside, level))
 
     at, lower = 0, None
     while True:
         m = TAG.search(page, at)
-        parts.append(page[at : m.start()] if m else page[at:])
+        parts.append((page[at : m.start()] if m else page[at:], dropped, around))
         if not m:
             break
         at = m.end()
@@ -113,10 +126,10 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             continue
         if name in INLINE:
             if name == "br":
-                parts.append(" ")
+                parts.append((" ", dropped, around))
             declared, named = _declared(name, m[3], inside) if name != "br" and not m[1] and name not in VOID and m[3] else (False, False)
-            if declared or named:
-                flush()
+            nested = not m[1] and name not in VOID and stack and stack[-1][0] == name
+            if declared or named or nested:
                 stack.append((name, dropped, inside, around))
                 dropped = dropped or declared
                 if named:
@@ -124,7 +137,6 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
                     holds.append(False)
                     around = len(outer) - 1
             elif m[1] and stack and stack[-1][0] == name:
-                flush()
                 _, dropped, inside, around = stack.pop()
             continue
         flush()
@@ -180,27 +192,63 @@ def split_url(url: str | None) -> tuple[str, str]:
     return re.sub(r"^www\.|:\d+$", "", host.rpartition("@")[2].lower()), re.sub(r"(\.html?|/)+$", "", path)
 
 
-def common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
-    """Positions of a longest common subsequence (the matches' longest chain, by the Hunt-Szymanski method)."""
+#: Bits of the rows kept to trace a common subsequence back; longer tables are halved first.
+TRACE_BITS = 1 << 28
+
+
+def _rows(a: list, b: list) -> Iterator[int]:
+    """For each line of ``a`` the row of the table of common lengths: a zero bit where it grows along ``b``."""
     places: dict = {}
     for j, x in enumerate(b):
-        places.setdefault(x, []).append(j)
-    ends: list[int] = []
-    tails: list[tuple] = []
-    for i, x in enumerate(a):
-        for j in reversed(places.get(x, ())):
-            k = bisect_left(ends, j)
-            node = (i, j, tails[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                tails.append(node)
+        places[x] = places.get(x, 0) | 1 << j
+    full = row = (1 << len(b)) - 1
+    for x in a:
+        hit = row & places.get(x, 0)
+        row = (row + hit | row - hit) & full
+        yield row
+
+
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` and every prefix of ``b``."""
+    row = (1 << len(b)) - 1
+    for row in _rows(a, b):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
+    """Positions of a longest common subsequence.
+
+    Rows of the table of common lengths are whole numbers, one bit a line of ``b``, so that pages of thousands of
+    equal lines take no longer than others. A table of over TRACE_BITS is halved where both halves' lengths add up
+    to the most, so memory stays bounded.
+    """
+    in_a, in_b = set(a), set(b)
+    left, right = [i for i, x in enumerate(a) if x in in_b], [j for j, x in enumerate(b) if x in in_a]
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(left), 0, len(right))]
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        x, y = [a[i] for i in left[a0:a1]], [b[j] for j in right[b0:b1]]
+        if not x or not y:
+            continue
+        if len(x) > 1 and len(x) * len(y) > TRACE_BITS:
+            half = len(x) // 2
+            cut = int(np.argmax(_lengths(x[:half], y) + _lengths(x[half:][::-1], y[::-1])[::-1]))
+            todo += [(a0 + half, a1, b0 + cut, b1), (a0, a0 + half, b0, b0 + cut)]
+            continue
+        rows, i, j, found = list(_rows(x, y)), len(x), len(y), []
+        while i and j:
+            if rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+            elif i > 1 and not rows[i - 2] >> (j - 1) & 1:
+                i -= 1
             else:
-                ends[k], tails[k] = j, node
-    out, node = [], tails[-1] if tails else None
-    while node:
-        out.append(node[:2])
-        node = node[2]
-    return out[::-1]
+                i, j = i - 1, j - 1
+                found.append((left[a0 + i], right[b0 + j]))
+        out += found[::-1]
+    return out
 
 
 def shared_blocks(pages: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]], at: int, reach: int = REACH) -> np.ndarray:
