@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerstar.llm.common import store
+
 #: Signatures are broadcast up to this many rows (16 bytes a row in memory, about 64 with overhead); beyond it they are shuffled.
 BROADCAST_ROWS = 400_000
 
@@ -74,7 +76,8 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, threshold:
     elif index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
     worded = _with_words(docs, "doc_id")
-    found = _hashes(worded, size).join(index, "h").select(F.col("key").alias("doc_id"), "item_id").distinct()
+    # Used twice below; written once, so that the documents are hashed once.
+    found = store(_hashes(worded, size).join(index, "h").select(F.col("key").alias("doc_id"), "item_id").distinct(), "contained-found")
     near = docs.select("doc_id", "text").join(found.select(F.col("doc_id").alias("found_id")).distinct(), F.col("doc_id") == F.col("found_id"), "left_semi")
     theirs = _shingles(_with_words(near, "doc_id"), size).select(F.col("key").alias("doc_id"), "s")
     own = _shingles(_with_words(items, "item_id"), size).select(F.col("key").alias("item_id"), "s")
