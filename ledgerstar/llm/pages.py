@@ -93,24 +93,28 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
         return []
     stack: list[tuple[str, bool, bool, int]] = []  # element, dropped, inside, nearest named element around it
     parts: list[tuple[str, bool, int]] = []  # text, dropped and nearest named element there
-    dropped = inside = False
+    dropped = inside = mixed = False  # mixed: an inline element with a say began or ended in this block
     # Of each named element the nearest one around it, and whether it holds an article; 0 stands for none.
     around, outer, holds = 0, [0], [True]
 
     def flush() -> None:
+        nonlocal mixed
         if not parts:
             return
         # The first part lies before any inline element that begins in this block.
-        _, gone, level = parts[0]
-        words = [p for p in parts if p[0] and not p[0].isspace()]
-        shown = [p for p in parts if not p[1]]
-        if gone or all(p[1] for p in words):
-            gone, shown = True, parts
-        named = [p[2] for p in words if gone or not p[1]]
-        if named and level not in named:
-            level = named[0]
-        text = BLANK.sub(" ", html.unescape("".join(p[0] for p in shown))).strip()
+        (_, gone, level), shown = parts[0], parts
+        if mixed:
+            words = [p for p in parts if p[0] and not p[0].isspace()]
+            gone = gone or all(p[1] for p in words)
+            shown = parts if gone else [p for p in parts if not p[1]]
+            named = [p[2] for p in words if gone or not p[1]]
+            if named and level not in named:
+                level = named[0]
+        text = "".join([p[0] for p in shown]).strip()
         parts.clear()
+        mixed = False
+        if text:
+            text = BLANK.sub(" ", html.unescape(text)).strip()
         if text:
             out.append((text, gone, inside, level))
 
@@ -130,6 +134,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
             declared, named = _declared(name, m[3], inside) if name != "br" and not m[1] and name not in VOID and m[3] else (False, False)
             nested = not m[1] and name not in VOID and stack and stack[-1][0] == name
             if declared or named or nested:
+                mixed = True
                 stack.append((name, dropped, inside, around))
                 dropped = dropped or declared
                 if named:
@@ -137,6 +142,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
                     holds.append(False)
                     around = len(outer) - 1
             elif m[1] and stack and stack[-1][0] == name:
+                mixed = True
                 _, dropped, inside, around = stack.pop()
             continue
         flush()
