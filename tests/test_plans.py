@@ -1,6 +1,7 @@
 """Plan checks: scans pruned and filtered, no Python in the hot path."""
 
 import contextlib
+import glob
 import io
 
 from conftest import SF001
@@ -94,3 +95,29 @@ def test_stream_of_text_columns_keeps_every_column_and_older_output(spark, wh):
     assert run("second").count() == 2 * want.count()  # a lost checkpoint overwrites nothing
     ids = [r["stream"] for r in spark.read.parquet(f"{wh.root}/stream").select("stream").distinct().collect()]
     assert [read_silver(spark, f"{wh.root}/stream", i).count() for i in ids] == [want.count()] * 2
+
+
+def test_stream_lands_more_files_as_the_table_grows(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+    from ledgerstar.checks import queries
+    from ledgerstar.sinks import Warehouse
+
+    sf = str(tmp_path)
+    spark.range(1, 601).selectExpr(
+        "id AS l_orderkey", "id % 7 AS l_partkey", "id % 5 AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber", "CAST(id % 30 AS DOUBLE) AS l_quantity",
+        "CAST(id AS DOUBLE) AS l_extendedprice", "IF(id % 3 = 0, 'R', 'N') AS l_returnflag", "TIMESTAMP_NTZ'1997-01-01 00:00:00' AS l_shipdate",
+    ).write.parquet(f"{sf}/lineitem.parquet")
+    spark.range(7).selectExpr("id AS p_partkey", "CAST(id AS INT) AS p_size").write.parquet(f"{sf}/part.parquet")
+    spark.range(5).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name", "CAST(id % 2 AS INT) AS s_nationkey").write.parquet(f"{sf}/supplier.parquet")
+    spark.range(2).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('N', id) AS n_name").write.parquet(f"{sf}/nation.parquet")
+    roots, fresh = [], Warehouse.fresh
+    monkeypatch.setattr(Warehouse, "fresh", lambda *a: roots.append(fresh(*a)) or roots[-1])
+    want = queries.silver(spark, sf)
+    for rows, least in ((1_000_000, 3), (50, 12)):
+        monkeypatch.setattr(queries, "LANDED_ROWS_PER_FILE", rows)
+        got = queries.stream_bronze_to_silver(spark, sf)
+        assert got.count() == want.count() and got.select(want.columns).exceptAll(want).isEmpty()
+        root = roots[-1].root.removeprefix("file:")
+        sizes = [pq.read_metadata(f).num_rows for f in glob.glob(f"{root}/bronze/*.parquet")]
+        assert sum(sizes) == 600 and len(sizes) == least and max(sizes) <= 2 * max(50, 600 // least)
+        assert len(glob.glob(f"{root}/silver/stream=*/batch_id=*")) == 3
