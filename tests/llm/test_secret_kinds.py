@@ -64,6 +64,38 @@ def test_training_is_repeatable_and_kinds_are_kept_out(spark):
     assert not set(secrets.ALPHABETS) & set(secrets.KEPT_OUT)
 
 
+def test_every_finding_and_candidate_is_learned(spark):
+    rng = random.Random(8)
+    value = lambda: "".join(rng.choices(WORD, k=24))
+    rows = [(k, f"see token={value()} and {value()}") for k in range(6000)]
+    rows += [(6000, " ".join(f"password={value()} in straight{'forward' * j}ness" for j in range(1, 9))), (6001, None), (6002, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = docs.select(F.shiftrightunsigned(F.xxhash64("text", F.lit(7)), 1).alias("order"), "text")
+    dealt = secrets._dealt(texts.repartition(3).unionAll(texts.limit(500)), 4)
+    left = [secrets._loaded(part) for _, part in dealt.toPandas().groupby("shard")]
+    assert len(left) == 4
+    y = np.concatenate([p[0] for p in left])
+    # Repeated texts come once; the eight long words come once each, those over 40 characters in several windows.
+    long = sum(len(secrets.windows(0, len("straight" + "forward" * j + "ness"))) for j in range(1, 9))
+    assert np.bincount(y).tolist() == [6000, 6008, long]
+    out = np.concatenate([p[2] for p in left])
+    assert 0.2 < out.mean() < 0.3
+
+
+def test_shards_learn_from_one_network_and_repeat(spark):
+    rng = random.Random(9)
+    words = ["letters", "straightforwardness", "internationalization", "src/main/java/org/Spark.java", "thunderstorms-in-spring", "ACKNOWLEDGEMENTS"]
+    rows = [(k, f"{rng.choice(words)} token={''.join(rng.choices(WORD, k=24))} {rng.choice(words)} {k}") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = secrets.train(docs, shard=40_000), secrets.train(docs.repartition(5), shard=40_000)
+    assert one.threshold == two.threshold and all((one.net.p[k] == two.net.p[k]).all() for k in one.net.p)
+    first = secrets.train(docs)
+    assert (first.net.p["k"] != one.net.p["k"]).any()
+    keys = ["".join(rng.choices(WORD, k=24)) for _ in range(200)]
+    found, plain = ([np.mean([bool(s) for s in marked(spark, m, [f"the value {k} appears" for k in some]).values()]) for m in (first, one)] for some in (keys, words))
+    assert min(found) > 0.8 and max(plain) < 0.2 and abs(found[0] - found[1]) < 0.1
+
+
 def test_varied_examples():
     rng = np.random.default_rng(2)
     text = 'a token = "0123456789abcdef" is é here'
